@@ -27,8 +27,9 @@ SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\p{Z}]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 # Below U+0300 every code point is already composed and never reorders. In the
-# Sinhala block only the pairs below compose, and only one sign carries a class.
-_MAY_CHANGE = r"[^\x{0}-\x{2ff}\x{d80}-\x{dff}\x{2002}-\x{206f}]|\x{dd9}[\x{dca}\x{dcf}\x{ddf}]|\x{ddc}\x{dca}"
+# Sinhala block only these pairs compose, and only one sign carries a class.
+_OUTSIDE = r"[^\x{0}-\x{2ff}\x{d80}-\x{dff}\x{2002}-\x{206f}]"
+_SINHALA_PAIRS = ["\u0dd9\u0dca", "\u0dd9\u0dcf", "\u0dd9\u0ddf", "\u0ddc\u0dca"]
 
 
 def _compose(texts: pd.Series) -> pd.Series:
@@ -36,11 +37,22 @@ def _compose(texts: pd.Series) -> pd.Series:
 
 
 def nfc(text: Column) -> Column:
-    """Canonical composition. Spark has no built-in for it, so the texts that
-    could change (found with a regular expression in the JVM) go through Arrow;
-    all others are sent as NULL and keep their value."""
+    """Canonical composition. Spark has no built-in for it, so the texts that could
+    change (found in the JVM) go through Arrow; all others are sent as NULL and keep
+    their value."""
     compose = F.pandas_udf(_compose, "string")
-    return F.coalesce(compose(F.when(text.rlike(_MAY_CHANGE), text)), text)
+    may_change = text.rlike(_OUTSIDE)
+    for pair in _SINHALA_PAIRS:
+        may_change = may_change | text.contains(pair)
+    not_ascii = F.octet_length(text) > F.length(text)
+    return F.coalesce(compose(F.when(not_ascii & may_change, text)), text)
+
+
+def remove_invisible(text: Column) -> Column:
+    """Byte searches: faster than one regular expression or ``translate``."""
+    for char in INVISIBLE:
+        text = F.replace(text, F.lit(char), F.lit(""))
+    return text
 
 
 def squeeze(text: Column) -> Column:
@@ -59,14 +71,18 @@ def replace_entities(text: Column) -> Column:
     return text
 
 
+def tidy(composed: Column) -> Column:
+    """The steps after composition: delete invisible characters, replace entities,
+    squeeze."""
+    return squeeze(replace_entities(remove_invisible(composed)))
+
+
 def normalize(text: Column) -> Column:
-    """Compose, delete invisible characters, replace entities, squeeze."""
-    visible = F.translate(nfc(text), INVISIBLE, "")
-    return squeeze(replace_entities(visible))
+    return tidy(nfc(text))
 
 
 def invisible_count(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, INVISIBLE, ""))
+    return F.length(text) - F.length(remove_invisible(text))
 
 
 def prefix_shingle(body: Column, chars: int = 300) -> Column:
@@ -93,7 +109,9 @@ def word_shingles(text: Column, width: int = 3) -> Column:
 
     def runs(w: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(1)))
-        hashed = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(w, i, width), " ")))
+        # get() reads one word, where slice() would copy the whole array per run.
+        run = lambda i: F.concat_ws(" ", *[F.get(w, i + (k - 1)) for k in range(width)])
+        hashed = F.transform(starts, lambda i: F.xxhash64(run(i)))
         return F.when(F.size(w) > 0, F.array_distinct(hashed)).otherwise(F.array().cast("array<bigint>"))
 
     # Bound as a lambda variable, the words are split once and not once per run.

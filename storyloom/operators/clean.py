@@ -23,8 +23,13 @@ def pick_one(df: DataFrame, key: Column, *order: Column) -> DataFrame:
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
-    """Normalised title and body."""
-    return df.withColumns({name: text.normalize(F.col(name)) for name in ("title", "body")})
+    """Normalised title and body. inline() computes each text once: without it a filter
+    on the result is pushed down and repeats the work."""
+    names = ("title", "body")
+    composed = df.withColumns({name: text.nfc(F.col(name)) for name in names})
+    tidied = F.struct(*[text.tidy(F.col(name)).alias(name) for name in names])
+    rest = [c for c in df.columns if c not in names]
+    return composed.select(*rest, F.inline(F.array(tidied))).select(*df.columns)
 
 
 def min_body_filter(df: DataFrame, min_chars: int = MIN_BODY_CHARS) -> DataFrame:
@@ -63,12 +68,12 @@ def language_filter(df: DataFrame, allowed: list[str]) -> DataFrame:
 def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Rows in and out, rows removed as short or repeated, invisible characters."""
     invisible = text.invisible_count(F.col("title")) + text.invisible_count(F.col("body"))
-    long_enough = F.length(text.normalize(F.col("body"))) >= MIN_BODY_CHARS
-    before = raw.agg(
+    counted = raw.select("title", "body", invisible.alias("invisible"))
+    before = normalize_text(counted).agg(
         F.count("*").alias("rows_in"),
-        F.count_if(long_enough).alias("rows_long"),
-        F.coalesce(F.sum(invisible), F.lit(0)).alias("invisible_chars"),
-        F.count_if(invisible > 0).alias("invisible_rows"),
+        F.count_if(F.length("body") >= MIN_BODY_CHARS).alias("rows_long"),
+        F.coalesce(F.sum("invisible"), F.lit(0)).alias("invisible_chars"),
+        F.count_if(F.col("invisible") > 0).alias("invisible_rows"),
     )
     after = cleaned.agg(F.count("*").alias("rows_out"))
     parts = [("rows_in", before), ("rows_long", before), ("invisible_chars", before), ("invisible_rows", before),

@@ -38,16 +38,19 @@ def decode(fragment: Column) -> Column:
 def extract_article(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add ``title`` (first heading) and ``body_lines`` (paragraphs in order; one that
     is never closed ends at the next block). All in the JVM."""
+
+    def parse(seen: Column) -> Column:
+        pieces = F.slice(F.split(seen, _PARAGRAPH), F.lit(2), F.length(seen))
+        lines = F.transform(pieces, lambda piece: decode(F.regexp_extract(piece, _PARAGRAPH_END, 1)))
+        return F.struct(
+            decode(F.regexp_extract(seen, _HEADING, 1)).alias("title"),
+            F.filter(lines, lambda line: line != "").alias("body_lines"),
+        )
+
+    # inline() parses each page once: a later filter on the body cannot be pushed
+    # below a generator and repeat the work.
     seen = F.regexp_replace(F.col(html), _UNSEEN, "")
-    pieces = F.split(seen, _PARAGRAPH)
-    inner = F.transform(
-        F.slice(pieces, F.lit(2), F.size(pieces)),
-        lambda piece: decode(F.regexp_extract(piece, _PARAGRAPH_END, 1)),
-    )
-    return pages.withColumns({
-        "title": decode(F.regexp_extract(seen, _HEADING, 1)),
-        "body_lines": F.filter(inner, lambda line: line != ""),
-    })
+    return pages.select("*", F.inline(F.transform(F.array(seen), parse)))
 
 
 def extract_with(

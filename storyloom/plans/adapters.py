@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import ids
 from storyloom.functions.labels import BIAS_LABELS
+from storyloom.session import spread
 
 URL = "https://example.org/articles/"
 RUN_DATE = "2024-01-05"
@@ -32,6 +33,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "pages"), "page_id")
+
+
 def url_of(number: Column) -> Column:
     return F.concat(F.lit(URL), number.cast("string"))
 
@@ -43,7 +48,7 @@ def first_line(text: Column) -> Column:
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """Raw articles in document order."""
     times = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), F.col("ts").alias("published_at"))
-    docs = table(spark, sf, "documents").join(times, "doc_id", "left")
+    docs = spread(table(spark, sf, "documents"), "doc_id").join(times, "doc_id", "left")
     url = url_of(F.col("doc_id"))
     return docs.select(
         ids.article_id(url).alias("article_id"), "source", url.alias("url"), first_line(F.col("text")).alias("title"),

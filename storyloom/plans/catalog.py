@@ -13,7 +13,7 @@ from storyloom.operators import (
     assign, classify, clean, corpus, density, digest, embed, extract, merge, neighbors, reads, similar,
 )
 from storyloom.plans import adapters as A
-from storyloom.session import scratch_path
+from storyloom.session import scratch_path, spread
 from storyloom.sources import corpus as corpus_source
 from storyloom.sources import stage, warehouse
 from storyloom.streaming import incremental
@@ -268,7 +268,7 @@ extracted AS (
 @query(with_(EXTRACTED, select="""SELECT page_id, url, title, len(lines) AS line_count,
   coalesce(array_to_string(lines, chr(10) || chr(10)), '') AS body FROM extracted"""))
 def extract_article(spark: SparkSession, sf: str) -> DataFrame:
-    found = extract.extract_article(A.table(spark, sf, "pages"))
+    found = extract.extract_article(A.pages(spark, sf))
     return found.select("page_id", "url", "title", F.size("body_lines").cast("long").alias("line_count"),
                         F.array_join("body_lines", "\n\n").alias("body"))
 
@@ -279,7 +279,7 @@ def extract_article(spark: SparkSession, sf: str) -> DataFrame:
              select=rf"""SELECT page_id, url, CASE WHEN starts_with(link, '/')
                THEN regexp_extract(url, '{extract._SITE}', 1) || link ELSE link END AS link FROM links"""))
 def extract_links(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.extract_links(A.table(spark, sf, "pages"))
+    return extract.extract_links(A.pages(spark, sf))
 
 
 @query(with_(EXTRACTED, f"""records AS (
@@ -290,7 +290,7 @@ def extract_links(spark: SparkSession, sf: str) -> DataFrame:
              select=rf"""SELECT * FROM records
                WHERE length(regexp_replace(body, '\A{SPACE}+|{SPACE}+\z', '', 'g')) >= 50"""))
 def make_articles(spark: SparkSession, sf: str) -> DataFrame:
-    found = extract.extract_article(A.table(spark, sf, "pages")).withColumns({
+    found = extract.extract_article(A.pages(spark, sf)).withColumns({
         "source": F.regexp_extract("url", extract._SITE, 1),
         "time_ut": F.when(F.col("page_id") == 0, 0).otherwise(1704067200 + F.col("page_id") * 60)})
     return extract.make_articles(found, A.LOADED_AT)
@@ -356,7 +356,8 @@ def language_filter(spark: SparkSession, sf: str) -> DataFrame:
              "reach AS (SELECT id, id AS r FROM words UNION SELECT reach.id, edges.b FROM reach JOIN edges ON edges.a = reach.r)",
              select="SELECT id, min(r) AS keeper FROM reach GROUP BY id"))
 def near_dup_minhash(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    docs = spread(A.table(spark, sf, "documents"), "doc_id")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
     return similar.near_dup_minhash(rows)
 
 

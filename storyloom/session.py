@@ -43,6 +43,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give costly work on a scan of few splits to all cores. A scan with at least as
+    many splits as cores, as any large table has, stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so that a lost executor costs a
     re-read instead of a recomputation of all earlier rounds."""
