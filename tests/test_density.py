@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+
+from storyloom.operators import density
+
+from . import brute
+
+
+# Several blocks and bands, and the doubling rounds instead of the local walk.
+SPLIT = {"block_rows": 30, "band_edges": 150, "local_clusters": 0}
+
+
+def _frame(spark, points):
+    rows = [(name, [float(v) for v in vector]) for name, vector in points.items()]
+    return spark.createDataFrame(rows, "article_id string, embedding array<double>")
+
+
+def _run(spark, points, min_size, min_samples, **options):
+    found = density.hdbscan(_frame(spark, points), min_size, min_samples, **options).collect()
+    return {r.article_id: r.cluster for r in found}, {r.article_id: r.probability for r in found}
+
+
+def test_two_groups_of_three(spark):
+    points = {f"a{i}": v for i, v in enumerate(
+        [(0, 0), (0.01, 0), (0, 0.01), (10, 10), (10.01, 10), (10, 10.01)])}
+    rows = density.hdbscan_soft(_frame(spark, points)).collect()
+    events = {r.article_id: r.event_id for r in rows}
+    assert len({events["a0"], events["a1"], events["a2"]}) == 1
+    assert len({events["a3"], events["a4"], events["a5"]}) == 1
+    assert len(set(events.values())) == 2 and None not in events.values()
+    assert {r.cluster_label for r in rows} == {0, 1}
+
+
+@pytest.mark.parametrize("points, clusters", [
+    ({}, 0),
+    ({"a": (0, 0)}, 0),
+    ({"a": (0, 0), "b": (1, 0)}, 0),
+    ({"a": (0, 0), "b": (1, 0), "c": (5, 0)}, 0),
+    ({"a": (0, 0), "b": (1, 0), "c": (50, 0), "d": (150, 7)}, 0),
+    ({"a": (0, 0), "b": (1, 0), "c": (50, 0), "d": (51.5, 0)}, 2),
+    ({"a": (0, 0), "b": (0, 0), "c": (50, 0), "d": (51.5, 0)}, 2),
+    ({"a": (2, 2), "b": (2, 2), "c": (2, 2)}, 0),
+])
+def test_small_inputs(spark, points, clusters):
+    labels, _ = _run(spark, points, 2, 1)
+    assert set(labels) == set(points)
+    assert len({label for label in labels.values() if label}) == clusters
+
+
+def test_too_few_rows_are_noise(spark):
+    rows = density.hdbscan_soft(_frame(spark, {"a": (0, 0), "b": (0, 1)})).collect()
+    assert [(r.event_id, r.cluster_label, r.cluster_probability) for r in rows] == [(None, -1, 0.0)] * 2
+
+
+@pytest.mark.parametrize("seed, min_size, min_samples", [(1, 2, 1), (2, 3, 2), (3, 5, 3)])
+def test_matches_plain_model_whatever_the_blocks(spark, seed, min_size, min_samples):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, 3)) * 4
+    points = {f"p{i:03d}": centres[i % 6] + rng.normal(size=3) * (0.2 + 0.2 * (i % 3)) for i in range(90)}
+    labels, shares = brute.hdbscan(points, min_size, min_samples)
+    assert len({v for v in labels.values() if v}) > 1
+    for options in ({}, SPLIT) if seed == 2 else ({"block_rows": 40},):
+        found, probability = _run(spark, points, min_size, min_samples, **options)
+        assert found == labels
+        assert all(abs(probability[name] - shares[name]) < 1e-9 for name in points)
+
+
+def test_copies_form_one_cluster(spark):
+    rng = np.random.default_rng(5)
+    points = {f"c{i:02d}": (7.0, 7.0) for i in range(30)}
+    points.update({f"x{i:02d}": rng.normal(size=2) * 3 for i in range(30)})
+    labels, shares = _run(spark, points, 2, 1, block_rows=16)
+    assert {labels[f"c{i:02d}"] for i in range(30)} == {"c00"}
+    assert all(shares[f"c{i:02d}"] == 1.0 for i in range(30))
+
+
+def test_event_ids_are_stable(spark):
+    points = {"a": (0, 0), "b": (1, 0), "c": (50, 0), "d": (51.5, 0)}
+    first, second = ({(r.article_id, r.event_id) for r in density.hdbscan_new(_frame(spark, points), "2024-01-05").collect()}
+                     for _ in range(2))
+    assert first == second and len(first) == 4
