@@ -13,6 +13,10 @@ from storyloom.session import durable
 from storyloom.sources import stage, warehouse
 
 
+# Commits of changes that a reader merges before the next compaction.
+MAX_FOLDERS = 16
+
+
 @dataclass
 class Options:
     """Models and thresholds of a run."""
@@ -27,8 +31,9 @@ class Options:
 def curate(
     raw: DataFrame, stored: dict[str, DataFrame], run_date: str, loaded_at: str, options: Options | None = None,
 ) -> dict[str, DataFrame]:
-    """The next version of sources, events and articles. Cleaned text and vectors are
-    needed by several branches and are checkpointed once."""
+    """New and changed rows of sources, events and articles. Cleaned text and vectors
+    are needed by several branches and are checkpointed once. Of the stored tables only
+    the rows with incoming keys are merged."""
     options = options or Options()
     present, _ = stage.require_text(raw)
     if options.languages:
@@ -41,9 +46,15 @@ def curate(
     joined = stage.article_times(merge.join_outputs(cleaned, vectors, bias, clusters, loaded_at)).withColumn(
         "bias_scores", F.from_json("bias_scores", "map<string,double>"))
     created = F.lit(loaded_at).cast("timestamp")
-    sources = merge.upsert_sources(stored["sources"], cleaned)
-    events = merge.upsert_events(stored["events"], merge.event_stats(clusters, cleaned))
-    articles = merge.upsert_articles(stored["articles"], joined)
+    counted = durable(merge.event_stats(clusters, cleaned))
+
+    def touched(table: str, incoming: DataFrame, key: str) -> DataFrame:
+        return stored[table].join(incoming.select(key), key, "left_semi")
+
+    names = cleaned.select(F.col("source").alias("source_name")).distinct()
+    sources = merge.upsert_sources(touched("sources", names, "source_name"), cleaned)
+    events = merge.upsert_events(touched("events", counted, "event_id"), counted)
+    articles = merge.upsert_articles(touched("articles", cleaned, "article_id"), joined)
     tables = {"sources": sources, "events": events, "articles": articles}
     return {name: df.withColumn("created_at", F.coalesce("created_at", created)) for name, df in tables.items()}
 
@@ -57,7 +68,10 @@ def load_batch(
     if warehouse.is_committed(spark, root, run_id) or raw.isEmpty():
         return False
     stored = {name: warehouse.read_table(spark, root, name) for name in warehouse.WAREHOUSE}
-    warehouse.commit_warehouse(spark, root, curate(raw, stored, run_date, loaded_at, options), run_id)
+    changed = curate(raw, stored, run_date, loaded_at, options)
+    warehouse.commit_warehouse(spark, root, changed, run_id, changes=True)
+    if len(warehouse.folders(spark, root)) > MAX_FOLDERS:
+        warehouse.compact(spark, root, f"{run_id}-compact")
     return True
 
 

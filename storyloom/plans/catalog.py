@@ -13,7 +13,7 @@ from storyloom.operators import (
     assign, classify, clean, corpus, density, digest, embed, extract, merge, neighbors, reads, similar,
 )
 from storyloom.plans import adapters as A
-from storyloom.session import scratch_path, spread
+from storyloom.session import durable, scratch_path, spread
 from storyloom.sources import corpus as corpus_source
 from storyloom.sources import stage, warehouse
 from storyloom.streaming import incremental
@@ -492,14 +492,16 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance,
              select="SELECT query_id, neighbour_id, label, round(distance, 6) AS distance, rank FROM ranked WHERE rank <= 5"))
 def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
     queries, stored = _neighbour_inputs(spark, sf)
-    return rounded(neighbors.cosine_topk(queries, stored, skip_self=True), "distance")
+    found = neighbors.cosine_topk(queries, stored, skip_self=True)
+    return rounded(found.withColumn("rank", F.col("rank").cast("long")), "distance")
 
 
 @query(with_(A.VECTORS, NEIGHBOURS, select="""SELECT query_id, neighbour_id, label, round(distance, 6) AS distance, rank
   FROM neighbours"""))
 def knn_exact(spark: SparkSession, sf: str) -> DataFrame:
     queries, stored = _neighbour_inputs(spark, sf)
-    return rounded(neighbors.knn_exact(queries, stored), "distance")
+    found = neighbors.knn_exact(queries, stored)
+    return rounded(found.withColumn("rank", F.col("rank").cast("long")), "distance")
 
 
 @query()
@@ -652,7 +654,8 @@ kept AS (SELECT DISTINCT source AS source_name FROM articles WHERE language = 'e
     WHERE event_id IS NOT NULL AND event_id NOT IN (SELECT event_id FROM new_events)
   UNION ALL SELECT 'articles_embedding_dim', count(*) FROM broken WHERE len(embedding) <> 32"""))
 def integrity_checks(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _joined(spark, sf).withColumns({
+    # Stands for the stored table, which every check reads.
+    rows = durable(_joined(spark, sf)).withColumns({
         "title": F.when(F.col("language") != "fr", F.col("title")),
         "event_id": F.concat("source_name", "bias_label")})
     known = A.articles(spark, sf).where("language = 'en'").select(F.col("source").alias("source_name")).distinct()
