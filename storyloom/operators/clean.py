@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions import text
+from storyloom.session import durable
 
 MIN_BODY_CHARS = 50
 SHINGLE_CHARS = 300
@@ -65,28 +66,26 @@ def language_filter(df: DataFrame, allowed: list[str]) -> DataFrame:
     return df.where(F.col("language").isin(*allowed))
 
 
-def cleaning_report(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Rows in and out, rows removed as short or repeated, invisible characters."""
+def cleaning_report(raw: DataFrame, min_chars: int = MIN_BODY_CHARS) -> DataFrame:
+    """Rows in and out, rows removed as short or repeated, invisible characters. The
+    texts are read once; the duplicate rules then run over what they need of them: id,
+    position, length and the characters that form the shingle."""
     invisible = text.invisible_count(F.col("title")) + text.invisible_count(F.col("body"))
-    counted = raw.select("title", "body", invisible.alias("invisible"))
-    before = normalize_text(counted).agg(
-        F.count("*").alias("rows_in"),
-        F.count_if(F.length("body") >= MIN_BODY_CHARS).alias("rows_long"),
+    normal = normalize_text(raw.select("article_id", "pos", "title", "body", invisible.alias("invisible")))
+    narrow = durable(normal.select(
+        "article_id", "pos", "invisible", F.length("body").alias("chars"),
+        F.substring("body", 1, SHINGLE_CHARS).alias("body")))
+    kept = dedup_prefix(dedup_exact(narrow.where(F.col("chars") >= min_chars)))
+    marks = narrow.select(
+        F.lit(1).alias("row"), F.when(F.col("chars") < min_chars, 1).otherwise(0).alias("short"), F.lit(0).alias("kept"),
+        "invisible").unionByName(kept.select(
+            F.lit(0).alias("row"), F.lit(0).alias("short"), F.lit(1).alias("kept"), F.lit(0).alias("invisible")))
+    totals = marks.agg(
+        F.coalesce(F.sum("row"), F.lit(0)).alias("rows_in"),
+        F.coalesce(F.sum("short"), F.lit(0)).alias("rows_short"),
+        F.coalesce(F.sum("kept"), F.lit(0)).alias("rows_out"),
         F.coalesce(F.sum("invisible"), F.lit(0)).alias("invisible_chars"),
         F.count_if(F.col("invisible") > 0).alias("invisible_rows"),
     )
-    after = cleaned.agg(F.count("*").alias("rows_out"))
-    parts = [("rows_in", before), ("rows_long", before), ("invisible_chars", before), ("invisible_rows", before),
-             ("rows_out", after)]
-    stacked = before.selectExpr(
-        f"stack(4, {', '.join(repr(n) + ', ' + n for n, d in parts if d is before)}) AS (metric, value)"
-    ).unionByName(after.select(F.lit("rows_out").alias("metric"), F.col("rows_out").alias("value")))
-    wide = stacked.groupBy().pivot("metric", [n for n, _ in parts]).agg(F.max("value"))
-    return wide.select(
-        "rows_in",
-        (F.col("rows_in") - F.col("rows_long")).alias("rows_short"),
-        (F.col("rows_long") - F.col("rows_out")).alias("rows_repeated"),
-        "rows_out",
-        "invisible_chars",
-        "invisible_rows",
-    )
+    repeated = F.col("rows_in") - F.col("rows_short") - F.col("rows_out")
+    return totals.withColumn("rows_repeated", repeated)

@@ -383,8 +383,7 @@ def _count_invisible(column: str) -> str:
   (SELECT count(*) FROM cleaned) AS rows_out, (SELECT sum(n)::BIGINT FROM inv) AS invisible_chars,
   (SELECT count(*) FROM inv WHERE n > 0) AS invisible_rows"""))
 def cleaning_report(spark: SparkSession, sf: str) -> DataFrame:
-    raw = A.marked(A.articles(spark, sf))
-    return clean.cleaning_report(raw, clean.clean_articles(raw))
+    return clean.cleaning_report(A.marked(A.articles(spark, sf)))
 
 
 # --- Vectors -----------------------------------------------------------------------
