@@ -85,7 +85,8 @@ def make_articles(
     """Raw article records from url, source, title, body_lines, time_ut (epoch seconds,
     0 or NULL for unknown) and optionally language and pos. Short bodies are dropped."""
     body = F.array_join("body_lines", "\n\n")
-    known = F.when(F.col("time_ut") != 0, F.timestamp_seconds("time_ut"))
+    moment = F.to_utc_timestamp(F.timestamp_seconds("time_ut"), F.current_timezone())
+    known = F.when(F.col("time_ut") != 0, moment)
     records = extracted.select(
         ids.article_id(F.col("url")).alias("article_id"),
         "source",
