@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm import neardup, packing, quality, substrings
+from storyloom.llm import chat, neardup, packing, quality, sections, substrings
 
 VOCABULARY = os.environ.get("STORYLOOM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,11 +18,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, by most characters."""
+    return sections.section_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents")).drop("host", "n_lines")
 
 
+CONFLICT = "</s>[INST] ok [/INST]"
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of nothing but marks, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-1).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(CONFLICT))
+    return chat.read_back(chat.format_chats(turns.union(hard)), ordered=True)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 1024 tokens."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY))
@@ -41,7 +56,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_quality_rules, op6_packing, op9_minhash, op10_suffix_dedup)
+    f.__name__: f for f in (op1_token_counts, op4_quality_rules, op5_chat_formatting, op6_packing, op9_minhash, op10_suffix_dedup)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -55,7 +70,21 @@ _COUNTS = ", ".join(f"sum(({rule})::INT) AS {n}_k" for n, rule in quality.RULES.
 _STRICT = " AND ".join(f"NOT (({rule}) AND rate_{n} > {quality.HOST_RATE})" for n, rule in quality.RULES.items())
 _SHOWN = ", ".join(f"round(rate_{n}, 6) AS rate_{n}" for n in quality.RULES)
 
+_LOOKS = r"(\[/?INST|</?s|<</?(?:SYS|ROLE)>)(~*)([>\]])"
+_MARK = r"\[/?INST\]|</?s>|<</?(?:SYS|ROLE)>>"
+# A body is escaped if it holds a mark, or an escaped one that would be read as less.
+_WRITTEN = f"""CASE WHEN regexp_matches({{0}}, '{_LOOKS}') THEN regexp_replace({{0}}, '{_LOOKS}', '\\1\\2~\\3', 'g') ELSE {{0}} END"""
+
 ORACLES: dict[str, str] = {
+    "op5_chat_formatting": f"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{CONFLICT}' UNION ALL SELECT -1, 1, 'assistant', '{CONFLICT}'),
+        f AS (SELECT *, length({_WRITTEN.format("text")}) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17
+            ELSE 36 + length({_WRITTEN.format("role")}) END AS n FROM t)
+        SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(n)::BIGINT AS formatted_chars FROM f GROUP BY 1""",
     "op4_quality_rules": f"""
         WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
         g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d),

@@ -48,6 +48,8 @@ class Tokenizer:
         merger = _merger(self.library.to_str())
         plain = lambda piece: self.library.encode(piece, add_special_tokens=False).ids
         self.merge = merger.encode_ordinary if merger else plain
+        # Bytes of each id, where every id stands for bytes.
+        self.sizes = np.array([len(merger.decode_single_token_bytes(i)) for i in range(merger.max_token_value + 1)]) if merger else None
         self.clear()
 
     def clear(self) -> None:
@@ -68,6 +70,14 @@ class Tokenizer:
         self.number.update(zip(new, range(n, n + len(new))))
         self.filled = filled
 
+    def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (exclusive) character of every token."""
+        if self.sizes is None:
+            marked = self.library.encode(text, add_special_tokens=False).offsets
+            both = np.array(marked, np.int64).reshape(-1, 2)
+            return both[:, 0], both[:, 1]
+        return characters(text, self.sizes[self(text)[0]])
+
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         pieces = PIECE.findall(text)
         try:
@@ -82,6 +92,18 @@ class Tokenizer:
         return self.flat[where], word
 
 
+def characters(text: str, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last (exclusive) character of each of consecutive runs of bytes; a
+    character whose bytes are in several runs belongs to each of them."""
+    end = np.cumsum(lengths)
+    start = end - lengths
+    if text.isascii():
+        return start, end
+    lead = (np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80
+    upto = np.concatenate([[0], np.cumsum(lead)])
+    return np.where(np.append(lead, True)[start], upto[start], upto[start] - 1), upto[end]
+
+
 @lru_cache(maxsize=2)
 def _made(path: str) -> Tokenizer:
     return Tokenizer(path)
