@@ -2,7 +2,7 @@
 
 A document is encoded once, as a whole; each token stands for a span of characters. The
 spans are joined with the spans of sections (any ``array<struct<start, end>>`` column, by default
-the lines), and a token that crosses a boundary is allocated by a rule:
+the pieces between the matches of a pattern, such as sentences), and a token that crosses a boundary is allocated by a rule:
 
 * ``first``: to the section that holds its first character,
 * ``most``: to the section that holds most of its characters, the earlier one of equals,
@@ -13,6 +13,7 @@ Characters outside all sections are section -1, so that counts add up to the doc
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +27,15 @@ from storyloom.llm.tokens import tokenizer
 RULES = ("first", "most", "share")
 
 
-def line_sections(text: str = "text") -> Column:
-    """Spans of the lines of a text in code points; a line ends after its line feed."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.length(x).cast("long") + 1)
-    ends = F.aggregate(lines, F.array(F.lit(0).cast("long")), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
-    last = F.length(F.coalesce(text, F.lit(""))).cast("long")
-    return F.zip_with(F.slice(ends, 1, F.size(lines)), F.slice(ends, 2, F.size(lines)),
-                      lambda a, b: F.struct(a.alias("start"), F.least(b, last).alias("end")))
+LINES, SENTENCES = r"\n", r"[.!?]\s+|\n"
+
+
+def cut(text: str, boundary: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of the sections that end after each match of a pattern."""
+    ends = np.fromiter((m.end() for m in boundary.finditer(text)), np.int64)
+    if not len(ends) or ends[-1] < len(text):
+        ends = np.append(ends, len(text))
+    return np.concatenate([[0], ends[:-1]]), ends
 
 
 def allocate(first: np.ndarray, last: np.ndarray, start: np.ndarray, end: np.ndarray, rule: str) -> np.ndarray:
@@ -61,7 +64,8 @@ def allocate(first: np.ndarray, last: np.ndarray, start: np.ndarray, end: np.nda
     return np.bincount(where, weights=weight, minlength=len(start) + 1).astype(float)
 
 
-def section_tokens(docs: DataFrame, tokenizer_path: str, sections: Column | None = None, rule: str = "most") -> DataFrame:
+def section_tokens(docs: DataFrame, tokenizer_path: str, sections: Column | None = None, rule: str = "most",
+                   boundary: str = SENTENCES) -> DataFrame:
     """``doc_id, section, start, end, n_tokens, doc_tokens, crossing``: one row per section of
     each row, and one of section -1 if any token lies outside. ``crossing`` counts the
     section's tokens that reach beyond it.
@@ -71,20 +75,27 @@ def section_tokens(docs: DataFrame, tokenizer_path: str, sections: Column | None
     they are there."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    spans = line_sections() if sections is None else sections
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), spans.alias("sections"))
+    pattern = re.compile(boundary)
+    given = sections is not None
+    extra = [sections.alias("sections")] if given else []
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *extra)
+
+    def spans(batch: pa.RecordBatch, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not given:
+            return [cut(t, pattern) for t in texts]
+        lists = batch.column("sections")
+        at = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))[:-1]
+        both = lists.flatten()
+        sides = [np.split(both.field(c).to_numpy(zero_copy_only=False).astype(np.int64), at) for c in ("start", "end")]
+        return list(zip(*sides))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(tokenizer_path)
         for batch in chunks(batches):
             doc, out = [], []
-            lists = batch.column("sections")
-            cut = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            both = lists.flatten()
-            starts, ends = (both.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "end"))
-            for i, text in enumerate(batch.column("text").to_pylist()):
+            texts = batch.column("text").to_pylist()
+            for i, (text, (start, end)) in enumerate(zip(texts, spans(batch, texts))):
                 first, last = encode.spans(text)
-                start, end = starts[cut[i]:cut[i + 1]], ends[cut[i]:cut[i + 1]]
                 got = allocate(first, last, start, end, rule)
                 inside = np.searchsorted(start, first, side="right") - 1
                 over = last > end[inside] if len(end) else np.zeros(len(first), bool)

@@ -70,7 +70,7 @@ def test_allocation_equals_a_plain_join(rule):
 
 
 def test_lines(spark, docs, library, corpus):
-    rows = sections.section_tokens(docs, PATH).collect()
+    rows = sections.section_tokens(docs, PATH, boundary=sections.LINES).collect()
     by = {}
     for r in rows:
         by.setdefault(r.doc_id, []).append(r)
@@ -78,8 +78,15 @@ def test_lines(spark, docs, library, corpus):
         text = text or ""
         got = sorted(by[doc_id], key=lambda r: r.section)
         assert sum(r.n_tokens for r in got) == got[0].doc_tokens == len(library.encode(text, add_special_tokens=False).ids)
-        lines = text.split("\n")
-        assert [text[r.start:r.end].rstrip("\n") for r in got] == [x for x in lines]
+        assert [text[r.start:r.end] for r in got] == (text.splitlines(True) if "\n" in text else [text])
+
+
+def test_tokens_that_cross_sentences(spark):
+    frame = spark.createDataFrame([(1, "One is. Two are! three")], "doc_id long, text string")
+    got = {rule: {r.section: (r.n_tokens, r.crossing) for r in sections.section_tokens(frame, PATH, rule=rule).collect()} for rule in sections.RULES}
+    assert got["first"] == {0: (4, 1), 1: (3, 1), 2: (0, 0)}
+    assert got["most"] == {0: (3, 1), 1: (3, 1), 2: (1, 0)}
+    assert {k: round(n, 3) for k, (n, _) in got["share"].items()} == {0: 3.25, 1: 2.917, 2: 0.833}
 
 
 def test_other_sections_and_odd_rows(spark, nothing):
