@@ -10,9 +10,9 @@ this for every suffix needs no order of all suffixes, only equality classes of t
    windows of that sample share. Cores are compared across the corpus.
 2. Buckets. The suffixes of one repeated core form a bucket. Their long tie, the core, is
    settled by its rank alone; what is left to compare are the bytes before and after it. Equal
-   surroundings settle all their windows at once and stay as one row; buckets with several
-   surroundings are compared window by window, some buckets at a time. A bucket with
-   more than ``MOST`` surroundings is taken apart into single windows, grouped by Spark.
+   surroundings settle all their windows at once, and one of them stays for the others; the
+   rest is compared window by window, one or some buckets at a time. A bucket with more than
+   ``MOST`` different surroundings is taken apart into single windows, which Spark groups.
 3. The covered bytes are the union of all repeated windows.
 
 Strings are equal if their 64-bit fingerprints are. Within a chunk of texts equal cores are
@@ -115,29 +115,78 @@ def _padded(texts: pa.Array, width: int, from_end: bool) -> np.ndarray:
     return out
 
 
-def _compare(batch: pa.RecordBatch, slack: int) -> pa.RecordBatch:
-    """Runs ``core, ctx, a, b`` of window numbers (distance from window start to sample)
-    that occur in two surroundings of one core."""
-    core = batch.column("core").to_numpy().view(np.uint64)
+def _compare(rows: pa.RecordBatch, multi: np.ndarray, slack: int, length: int, single: bool) -> pa.RecordBatch:
+    """Ranges ``key, start, end`` of the repeated windows of surroundings, complete buckets
+    at a time. ``multi`` are surroundings that occur twice themselves. With ``single``, the
+    other windows are not judged here but come back one by one with a mark ``w``."""
+    core = rows.column("core").to_numpy().view(np.uint64)
     number = np.arange(slack + 1)
     step = mix(np.arange(1, slack + 2, dtype=np.uint64))
     sides = []
     for name, from_end in (("left", True), ("right", False)):
-        given = _padded(batch.column(name), slack, from_end).astype(np.uint64) + np.uint64(1)
+        given = _padded(rows.column(name), slack, from_end).astype(np.uint64) + np.uint64(1)
         sums = np.zeros((len(core), slack + 1), np.uint64)
         np.cumsum(mix(given * step[:slack]), axis=1, out=sums[:, 1:])
         sides.append(sums)
     mark = mix(sides[0] + mix(sides[1][:, ::-1] + step) + core[:, None] * np.uint64(2 * slack + 1))
-    there = (number >= batch.column("lo").to_numpy()[:, None]) & (number <= batch.column("hi").to_numpy()[:, None])
-    flat = mark[there]
-    _, back, count = np.unique(flat, return_inverse=True, return_counts=True)
+    there = (number >= rows.column("lo").to_numpy()[:, None]) & (number <= rows.column("hi").to_numpy()[:, None])
     twice = np.zeros(there.shape, np.int8)
-    twice[there] = count[back] > 1
+    if not single:
+        _, back, count = np.unique(mark[there], return_inverse=True, return_counts=True)
+        twice[there] = count[back] > 1
+    twice[multi] = there[multi]
     edge = np.diff(twice, axis=1, prepend=0, append=0)
     row, first = np.nonzero(edge == 1)
     last = np.nonzero(edge == -1)[1] - 1
-    return pa.RecordBatch.from_arrays([signed(core[row]), batch.column("ctx").take(pa.array(row)),
-                                       pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], ["core", "ctx", "a", "b"])
+    w = pa.nulls(len(row), pa.int64())
+    if single:
+        more, at = np.nonzero(there)
+        row, first, last = np.append(row, more), np.append(first, at), np.append(last, at)
+        w = pa.concat_arrays([w, signed(mark[more, at])])
+    key, at = rows.column("key").take(pa.array(row)), rows.column("at").to_numpy()[row]
+    return pa.RecordBatch.from_arrays([key, pa.array(at - last), pa.array(at - first + length), w], ["key", "start", "end", "w"])
+
+
+def _judge(batches: Iterator[pa.RecordBatch], slack: int, length: int) -> Iterator[pa.RecordBatch]:
+    """``_compare`` over rows sorted by core and surroundings. Only the first of equal
+    surroundings is held; the last row held waits for its equals."""
+    held, multi, large = None, np.zeros(0, bool), None
+
+    def flush(n: int, single: bool) -> pa.RecordBatch:
+        nonlocal held, multi
+        done, counts = held.slice(0, n), multi[:n]
+        held, multi = held.slice(n), multi[n:]
+        return _compare(done, counts, slack, length, single)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        both = np.stack([batch.column(c).to_numpy() for c in ("core", "ctx")], axis=1)
+        last = both[:1] - 1 if held is None else [[held.column(c)[-1].as_py() for c in ("core", "ctx")]]
+        new = (both != np.concatenate([last, both[:-1]])).any(axis=1)
+        more = batch.filter(pa.array(~new))
+        at = more.column("at").to_numpy()
+        yield pa.RecordBatch.from_arrays([
+            more.column("key"), pa.array(at - more.column("hi").to_numpy()), pa.array(at - more.column("lo").to_numpy() + length),
+            pa.nulls(len(at), pa.int64())], ["key", "start", "end", "w"])
+        owner = np.cumsum(new)[~new] + len(multi) - 1
+        reps = batch.filter(pa.array(new))
+        held = reps if held is None else pa.concat_batches([held, reps])
+        multi = np.append(multi, reps.column("multi").to_numpy(zero_copy_only=False))
+        multi[owner] = True
+        while held.num_rows > MOST:
+            core = held.column("core").to_numpy()
+            group = np.flatnonzero(core[1:] != core[:-1]) + 1
+            first = group[0] if len(group) else held.num_rows - 1
+            if large is not None and core[0] == large or not len(group) or first > MOST:
+                large = core[0]
+                yield flush(first, True)
+            else:
+                yield flush(group[group <= MOST][-1], False)
+    while held is not None and held.num_rows:
+        core = held.column("core").to_numpy()
+        n = int((core == core[0]).sum())
+        yield flush(n, True) if core[0] == large else flush(held.num_rows, False)
 
 
 def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN) -> DataFrame:
@@ -152,7 +201,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN) -> Data
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("key", F.xxhash64("doc_id", "text"))
 
-    slack, spark = span - 1, docs.sparkSession
+    slack = span - 1
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -174,50 +223,33 @@ def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN) -> Data
             begin = w.start[ask[first]]
             end = w.start[ask[np.append(first[1:], len(ask)) - 1]] if len(at) else begin
             owner, text = w.owner[ask[first]], data.tobytes()
-            left = pa.array([text[a:b] for a, b in zip(begin, at)], pa.binary())
-            right = pa.array([text[a:b] for a, b in zip(at + w.core, end + length)], pa.binary())
+            # Of equal surroundings in this chunk one is sent with its bytes; the others are
+            # settled and go wherever a number of their own sends them.
+            core, key = w.cores(at), batch.column("key").to_numpy()[owner]
+            whole = mix(w.hashes.hash(begin, end + length, 3) ^ mix((at - begin).astype(np.uint64)))
+            _, index, back, count = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
+            sent = np.zeros(len(at), bool)
+            sent[index] = True
+            core = np.where(sent, core, mix(key.view(np.uint64) ^ mix(core + at.astype(np.uint64))))
+            left = pa.array([text[a:b] if s else b"" for a, b, s in zip(begin, at, sent)], pa.binary())
+            right = pa.array([text[a:b] if s else b"" for a, b, s in zip(at + w.core, end + length, sent)], pa.binary())
             yield pa.RecordBatch.from_arrays([
-                signed(w.cores(at)), batch.column("key").take(pa.array(owner)), pa.array(at - offsets[owner]),
-                pa.array((at - end).astype(np.int32)), pa.array((at - begin).astype(np.int32)), left, right,
-            ], ["core", "key", "at", "lo", "hi", "left", "right"])
-
-    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            core = batch.column("core").to_numpy()
-            new = np.flatnonzero(core[1:] != core[:-1]) + 1
-            if held and batch.num_rows and core[0] != held[-1].column("core")[-1].as_py():
-                new = np.concatenate([[0], new])
-            done = 0
-            for stop in new[np.diff(new // 2048, prepend=-1) > 0]:
-                held.append(batch.slice(done, stop - done))
-                if whole := pa.Table.from_batches(held).combine_chunks().to_batches():
-                    yield _compare(whole[0], slack)
-                held, done = [], stop
-            held.append(batch.slice(done))
-        if held and (whole := pa.Table.from_batches(held).combine_chunks().to_batches()):
-            yield _compare(whole[0], slack)
+                signed(core), pa.array(key), pa.array(at - offsets[owner]), pa.array((at - end).astype(np.int32)),
+                pa.array((at - begin).astype(np.int32)), pa.array(count[back] > 1), left, right,
+            ], ["core", "key", "at", "lo", "hi", "multi", "left", "right"])
 
     known = durable(_repeated(keyed.select("key", "text").mapInArrow(sample, _ROWS)))
-    path = scratch_path(spark, "surroundings")
     found = keyed.select("key", "text").join(known, "key").mapInArrow(
-        surround, "core long, key long, at long, lo int, hi int, left binary, right binary")
-    found.withColumn("ctx", F.xxhash64("lo", "hi", "left", "right")).write.parquet(path)
-    found = spark.read.parquet(path)
-    kinds = durable(found.groupBy("core", "ctx").agg(
-        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("lo", "hi", "left", "right")]))
-    sizes = kinds.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    open_kinds = kinds.join(sizes, "core")
-    few = open_kinds.filter(F.col("kinds") <= MOST).drop("n", "kinds").repartition("core").sortWithinPartitions("core", "ctx")
-    runs = few.mapInArrow(buckets, "core long, ctx long, a int, b int")
-    single = open_kinds.filter(F.col("kinds") > MOST).withColumn("a", F.explode(F.sequence("lo", "hi")))
-    single = single.withColumn("w", F.xxhash64("core", "a", F.expr("substring(left, length(left) - a + 1, a)"), F.expr(f"substring(right, 1, {slack} - a)")))
+        surround, "core long, key long, at long, lo int, hi int, multi boolean, left binary, right binary")
+    found = found.withColumn("ctx", F.xxhash64("lo", "hi", "left", "right"))
+    found = found.repartition("core").sortWithinPartitions("core", "ctx")
+    path = scratch_path(docs.sparkSession, "windows")
+    found.mapInArrow(lambda x: _judge(x, slack, length), "key long, start long, end long, w long").write.parquet(path)
+    judged = docs.sparkSession.read.parquet(path)
+    single = judged.filter("w IS NOT NULL")
     again = single.groupBy("w").agg(F.count("*").alias("m")).filter("m > 1")
-    single = single.join(again, "w", "left_semi").select("core", "ctx", "a", F.col("a").alias("b"))
-    same = kinds.filter("n > 1").select("core", "ctx", F.col("lo").alias("a"), F.col("hi").alias("b"))
-    ranges = found.select("core", "ctx", "key", "at").join(runs.union(single).union(same), ["core", "ctx"])
-    starts = durable(ranges.groupBy("key").agg(F.collect_set(F.struct(
-        (F.col("at") - F.col("b")).alias("start"), (F.col("at") - F.col("a") + length).alias("end"))).alias("gone")))
+    ranges = judged.filter("w IS NULL").drop("w").union(single.join(again, "w", "left_semi").drop("w"))
+    starts = ranges.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
