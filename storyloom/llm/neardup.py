@@ -12,7 +12,8 @@ the exact Jaccard similarity of the distinct shingles.
 Large groups. Texts with the same words are one text from the start. A band bucket is
 compared with its most widely shared member only, so a group of k near copies costs k
 comparisons; the buckets that still hold several components are then compared in blocks of
-bounded size, across components only, first by signature and then exactly. So no link
+bounded size, across components only: a pair goes on if the shingles that each text has in
+common with any other could suffice and its signatures agree, and is then compared exactly. So no link
 between different texts is lost and no group emits all its pairs.
 """
 
@@ -133,30 +134,46 @@ def verify(docs: DataFrame, pairs: DataFrame, width: int, threshold: float, bloc
     return rows.mapInArrow(compare, "a long, b long")
 
 
+def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``doc_id, shingles``: the distinct shingles of the documents with these ids."""
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            data, offsets = utf8(batch.column("text"))
+            owner, shingle, _ = distinct(*shingles(data, offsets, width)[:2])
+            cut = np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(cut), signed(shingle))], ["doc_id", "shingles"])
+
+    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    return rows.mapInArrow(collect, "doc_id long, shingles array<long>")
+
+
 def _buckets(unique: DataFrame, places: int, band: int) -> DataFrame:
     """``bucket, doc_id`` for each band of each signature."""
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", i * band * 4 + 1, band * 4)) for i in range(places // band)])
     return unique.select("doc_id", F.explode(keys).alias("bucket"))
 
 
-def _across(members: DataFrame, least: float, block: int = 256) -> DataFrame:
-    """Pairs of one bucket but different components whose signatures agree in at least
-    the share ``least`` of places. Buckets (of ``n`` members) are compared in blocks of
-    about ``block`` members, each pair of blocks in one group."""
+def _across(members: DataFrame, threshold: float, least: float, block: int = 256) -> DataFrame:
+    """Pairs of one bucket but different components that can be alike: the shingles that
+    each of them has in ``common`` with any other member suffice for ``threshold``, and their
+    signatures agree in at least the share ``least`` of places. Buckets (of ``n`` members) are
+    compared in blocks of about ``block`` members, each pair of blocks in one group."""
     cells = members.withColumn("n", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     cells = cells.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         "doc_id", "component", "sig", "n_shingles")
+                         "doc_id", "component", "sig", "n_shingles", "common")
     cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "doc_id")
 
     def flush(group: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(group)
         ids, comp = t["doc_id"].to_numpy(), t["component"].to_numpy()
-        size = t["n_shingles"].to_numpy()
+        size, common = t["n_shingles"].to_numpy(), t["common"].to_numpy()
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
         left, right = [], []
         for k in range(len(ids) - 1):
-            rest = np.flatnonzero((comp[k + 1:] != comp[k]) & (np.minimum(size[k + 1:], size[k]) >= 0.8 * least * np.maximum(size[k + 1:], size[k]))) + k + 1
+            most = np.minimum(common[k + 1:], common[k])
+            rest = np.flatnonzero((comp[k + 1:] != comp[k]) & (most * (1 + threshold) >= threshold * (size[k + 1:] + size[k]))) + k + 1
             rest = rest[(sig[rest] == sig[k]).mean(axis=1) >= least]
             left.append(np.full(len(rest), ids[k]))
             right.append(ids[rest])
@@ -212,9 +229,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, pla
     labelled = durable(labelled.withColumn("component", F.coalesce("component", "doc_id")))
     several = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
     open_buckets = several.filter("lo < hi AND n > 2").select("bucket", "n")
-    members = labelled.join(open_buckets, "bucket").join(unique.select("doc_id", "sig", "n_shingles"), "doc_id")
-    rest = durable(_across(members, threshold - 0.2).join(pairs, ["a", "b"], "left_anti"))
-    links = links.union(verify(docs, rest, width, threshold)).union(copies)
+    members = labelled.join(open_buckets, "bucket")
+    path = scratch_path(spark, "shingles")
+    shingle_sets(docs, members.select("doc_id").distinct(), width).write.parquet(path)
+    sets = spark.read.parquet(path)
+    alone = sets.select("doc_id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    alone = alone.filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+    common = (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).cast("int")
+    facts = unique.select("doc_id", "sig", "n_shingles").join(alone, "doc_id", "left").withColumn("common", common).drop("alone")
+    rest = durable(_across(members.join(facts, "doc_id"), threshold, threshold - 0.2).join(pairs, ["a", "b"], "left_anti"))
+    one, two = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
+    both = rest.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("of_a", "of_b")))
+    alike = F.col("both") >= threshold * (F.size("of_a") + F.size("of_b") - F.col("both"))
+    links = links.union(both.filter(alike).select("a", "b")).union(copies)
 
     final = components(links).withColumnRenamed("id", "doc_id")
     every = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct()

@@ -50,11 +50,11 @@ def test_links_between_members_that_are_unlike_the_leader(spark, prose):
 def test_buckets_compared_in_blocks(spark):
     rng = np.random.default_rng(1)
     sigs = [np.repeat(rng.integers(0, 2 ** 32, 8), 16).astype(np.uint32) for _ in range(6)]
-    rows = [(5, i, i, sigs[i % 6].tobytes(), 10, 60) for i in range(60)]
-    frame = spark.createDataFrame(rows, "bucket long, doc_id long, component long, sig binary, n_shingles int, n long")
+    rows = [(5, i, i, sigs[i % 6].tobytes(), 10, 10, 60) for i in range(60)]
+    frame = spark.createDataFrame(rows, "bucket long, doc_id long, component long, sig binary, n_shingles int, common int, n long")
     want = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 6 == b % 6}
     for block in (7, 100):
-        assert {tuple(sorted((r.a, r.b))) for r in neardup._across(frame, 0.6, block).collect()} == want
+        assert {tuple(sorted((r.a, r.b))) for r in neardup._across(frame, 0.8, 0.6, block).collect()} == want
 
 
 def test_components(spark):
