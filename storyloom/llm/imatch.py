@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from storyloom.session import durable
 
 SPACE = r"[\x20\x09-\x0D]+"
-# One subset keeps one term in 2**k for each of these k, so often.
-DENSITIES, EACH = (0, 2, 3, 4, 5, 6, 7, 8), 4
+# Beside the whole lexicon, each of so many random orders of its terms has one subset with
+# one term in 2**k for each of these k. An order takes 10 bits of a hash, a hash four orders.
+DENSITIES, EACH = (4, 5, 6, 7, 8, 9), 8
 LOW, HIGH, BITS = 1e-4, 0.02, 20
 
 
@@ -27,7 +28,7 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, bits: int = BITS) -> Column:
-    """The lexicon as a literal array of ``2**bits`` bits, 63 to a number: the bit of a term
+    """The lexicon as a literal array of ``2**bits`` bits, 64 to a number: the bit of a term
     is set if a term with that many low bits of its hash is in more than one and at least
     the share ``low``, and at most the share ``high`` (and any two), of all documents.
 
@@ -39,39 +40,45 @@ def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH, bits: int = B
     df = texts.select(F.explode(terms(F.col("text"))).alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     band = df.filter((F.col("df") >= max(2.0, low * total)) & (F.col("df") <= max(2.0, high * total)))
     place = F.col("t").bitwiseAND((1 << bits) - 1)
-    cells = band.select((place / 63).cast("int").alias("cell"), F.expr(f"shiftleft(1L, cast((t & {(1 << bits) - 1}) % 63 AS int))").alias("bit"))
+    cells = band.select(F.shiftright(place, 6).alias("cell"), F.expr("shiftleft(1L, cast(t & 63 AS int))").alias("bit"))
     found = {r["cell"]: r["bits"] for r in cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).collect()}
-    numbers = ",".join(str(found.get(i, 0)) for i in range((1 << bits) // 63 + 1))
+    numbers = ",".join(str(found.get(i, 0)) for i in range(1 << bits - 6))
     return F.split(F.lit(numbers), ",").cast("array<bigint>")
 
 
-def signature(found: Column, chosen: Column, bits: int = BITS) -> Column:
-    """Hash of a text's terms in each subset, null where it has none there. A text without
-    any lexicon term is known by all its terms."""
-    mask = (1 << bits) - 1
+def of_lexicon(found: Column, chosen: Column, bits: int = BITS) -> Column:
+    """The terms whose bit is set in a lexicon."""
 
     def inside(t: Column) -> Column:
-        place = t.bitwiseAND(mask)
-        return F.shiftright(F.element_at(chosen, (F.floor(place / 63) + 1).cast("int")), (place % 63).cast("int")).bitwiseAND(1) == 1
+        cell = F.shiftright(t.bitwiseAND((1 << bits) - 1), 6) + 1
+        return F.getbit(F.element_at(chosen, cell.cast("int")), t.bitwiseAND(63).cast("int")) == 1
 
     return F.filter(found, inside)
 
 
-def _hashes(kept: Column) -> list[Column]:
-    out = []
-    for k in DENSITIES:
-        for j in range(EACH if k else 1):
-            if k:
-                # Which terms a subset keeps depends on bits of the term's hash with a seed.
-                member = F.filter(kept, lambda t, k=k, j=j: F.xxhash64(t, F.lit(1000 * k + j)).bitwiseAND((1 << k) - 1) == 0)
-            else:
-                member = kept
-            out.append(F.when(F.size(member) > 0, F.xxhash64(F.lit(k), F.lit(j), member)))
-    return out
+def _hashes(kept: Column) -> Column:
+    """Hash of the sorted terms in each subset, null where there are none: of all of them,
+    and for each random order of halvings of those that are left after 4, 5, ... 9."""
+
+    def print_of(k: int, j: int, member: Column) -> Column:
+        return F.when(F.size(member) > 0, F.xxhash64(F.lit(k), F.lit(j), member))
+
+    def thinned(member: Column, level: int, j: int) -> Column:
+        k, last = DENSITIES[level], DENSITIES[level - 1] if level else 0
+        mask = (1 << (k - last)) - 1
+        left = F.filter(member, lambda t: F.shiftright(t if j < 4 else F.xxhash64(t), 24 + 10 * (j % 4) + last).bitwiseAND(F.lit(mask)) == 0)
+        if level + 1 == len(DENSITIES):
+            more = lambda m: F.array(print_of(k, j, m))
+        else:
+            more = lambda m: F.concat(F.array(print_of(k, j, m)), thinned(m, level + 1, j))
+        return F.element_at(F.transform(F.array(left), more), 1)
+
+    return F.concat(F.array(print_of(0, 0, kept)), *[thinned(kept, 0, j) for j in range(EACH)])
 
 
 def fingerprints(texts: DataFrame, columns: list[str], chosen: Column) -> DataFrame:
-    """Replace each text column by an array of hashes, one per subset."""
+    """Replace each text column by an array of hashes, one per subset. A text without any
+    lexicon term is known by all its terms."""
     others = [c for c in texts.columns if c not in columns]
 
     def once(df: DataFrame, made: dict[str, Column], keep: list[str]) -> DataFrame:
@@ -79,9 +86,9 @@ def fingerprints(texts: DataFrame, columns: list[str], chosen: Column) -> DataFr
         return df.withColumn("_made", F.explode(F.array(row))).select(*keep, "_made.*")
 
     df = once(texts, {c: terms(F.coalesce(F.col(c), F.lit(""))) for c in columns}, others)
-    df = once(df, {c: signature(F.col(c), chosen) for c in columns} | {f"{c}_all": F.col(c) for c in columns}, others)
+    df = once(df, {c: of_lexicon(F.col(c), chosen) for c in columns} | {f"{c}_all": F.col(c) for c in columns}, others)
     df = once(df, {c: F.sort_array(F.when(F.size(c) > 0, F.col(c)).otherwise(F.col(f"{c}_all"))) for c in columns}, others)
-    return once(df, {c: F.array(*_hashes(F.col(c))) for c in columns}, others)
+    return once(df, {c: _hashes(F.col(c)) for c in columns}, others)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -98,15 +105,17 @@ def printed(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.coalesce(F.hex(h), F.lit("-"))), " ")
 
 
-def with_next(docs: DataFrame, rows: int = 1000, cells: int = 200) -> DataFrame:
-    """``doc_id, text, next``: each document with the text of the next one in descending
+def with_next(docs: DataFrame, rows: int = 1000, cells: int = 200, carry: list[str] = ()) -> DataFrame:
+    """``doc_id, text, next`` and for each column of ``carry`` itself and ``next_<column>``: each document with the text of the next one in descending
     order of id (ties by text hash); after the last comes the first. Null ids come last, null
     texts are empty.
 
     Ids are dealt into ordered cells: quantiles of the ids, split evenly into pieces of
     about ``rows`` rows. Texts are shuffled once, to their cells; only the first text of
     each cell also goes to the cell before."""
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *carry)
+    sent = ["text", *carry]
+    names = {"text": "next"} | {c: f"next_{c}" for c in carry}
     known = base.filter("doc_id IS NOT NULL")
     row = known.agg(F.percentile_approx("doc_id", [i / cells for i in range(1, cells)], 10000).alias("q"),
                     F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n")).first()
@@ -118,13 +127,14 @@ def with_next(docs: DataFrame, rows: int = 1000, cells: int = 200) -> DataFrame:
     cell = F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(coarse.cast("long") * pieces + F.least(fine, F.lit(pieces - 1)))
     placed = base.withColumn("cell", cell)
     order = Window.partitionBy("cell").orderBy(F.col("doc_id").desc(), F.xxhash64("text"))
-    listed = placed.withColumn("next", F.lead("text").over(order)).withColumn("place", F.row_number().over(order))
-    used = durable(placed.groupBy("cell").count())
+    listed = placed.withColumns({names[c]: F.lead(c).over(order) for c in sent} | {"place": F.row_number().over(order)})
+    used = durable(base.select("doc_id").withColumn("cell", cell).groupBy("cell").count())
     after = durable(_before(used.select("cell")))
-    heads = listed.filter("place = 1").select(F.col("cell").alias("low"), F.col("text").alias("head"))
-    heads = after.join(heads, "low").select("cell", "head")
-    ends = listed.filter("next IS NULL").drop("next").join(heads, "cell").withColumnRenamed("head", "next")
-    return listed.filter("next IS NOT NULL").select("doc_id", "text", "next").union(ends.select("doc_id", "text", "next"))
+    heads = listed.filter("place = 1").select(F.col("cell").alias("low"), *[F.col(c).alias(f"head_{c}") for c in sent])
+    heads = after.join(heads, "low").drop("low")
+    ends = listed.filter("next IS NULL").drop(*names.values()).join(heads, "cell").withColumnsRenamed({f"head_{c}": names[c] for c in sent})
+    out = ["doc_id", *sent, *names.values()]
+    return listed.filter("next IS NOT NULL").select(*out).union(ends.select(*out))
 
 
 def _before(cells: DataFrame, width: int = 4096) -> DataFrame:
@@ -139,16 +149,18 @@ def _before(cells: DataFrame, width: int = 4096) -> DataFrame:
 
 
 def compare_edited(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """``doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next`` of every row.
-    ``edited`` is the text with its last ``floor(n_chars / 2)`` code points replaced by the
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of every row.
+    The edited text is the text with its last ``floor(n_chars / 2)`` code points replaced by the
     first as many of the next document. A null or empty text has an empty fingerprint of
     dashes and likeness 1 to another such; an empty table gives an empty result."""
     chosen = lexicon(docs, low, high)
-    df = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
+    own = docs.select("doc_id", "text", F.col("text").alias("print"))
+    df = with_next(fingerprints(own, ["print"], chosen), carry=["print"]).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("next", F.lit(1), half))
-    df = df.withColumn("edited", edited)
-    df = df.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", "next")
-    df = fingerprints(df, ["text", "edited", "next"], chosen)
-    return df.select("doc_id", "n_chars", "edited_sha256", printed(F.col("text")).alias("fingerprint"), printed(F.col("edited")).alias("edited_fingerprint"),
-                     likeness(F.col("text"), F.col("edited")).alias("near_edited"), likeness(F.col("text"), F.col("next")).alias("near_next"))
+    df = df.select("doc_id", "n_chars", "print", "next_print", edited.alias("edited"))
+    df = df.withColumn("edited_sha256", F.sha2("edited", 256))
+    df = fingerprints(df, ["edited"], chosen)
+    return df.select("doc_id", "n_chars", "edited_sha256", printed(F.col("print")).alias("fingerprint"),
+                     printed(F.col("edited")).alias("edited_fingerprint"), likeness(F.col("print"), F.col("edited")).alias("near_edited"),
+                     likeness(F.col("print"), F.col("next_print")).alias("near_next"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm import chat, neardup, packing, quality, sections, substrings
+from storyloom.llm import chat, imatch, neardup, packing, quality, sections, substrings, urlfilter
 
 VOCABULARY = os.environ.get("STORYLOOM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,6 +23,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.section_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page as of its fetch time, the time of the event of its number."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("page_id"), F.col("ts").alias("fetched"))
+    return urlfilter.judge(pages.join(events, "page_id", "left"), urlfilter.sample_lists(pages))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents")).drop("host", "n_lines")
@@ -43,6 +50,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), VOCABULARY))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, its edited text, and their likeness."""
+    return imatch.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of every document."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -56,7 +68,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_quality_rules, op5_chat_formatting, op6_packing, op9_minhash, op10_suffix_dedup)
+    f.__name__: f for f in (
+        op1_token_counts, op3_url_filters, op4_quality_rules, op5_chat_formatting, op6_packing, op7_fingerprints,
+        op9_minhash, op10_suffix_dedup)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
