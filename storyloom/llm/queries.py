@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm import chat, imatch, neardup, packing, quality, sections, substrings, urlfilter
+from storyloom.llm import chat, imatch, lm, neardup, packing, quality, sections, substrings, urlfilter
 
 VOCABULARY = os.environ.get("STORYLOOM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +55,11 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under word counts and under the recurrent model."""
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of every document."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -69,7 +74,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_counts, op3_url_filters, op4_quality_rules, op5_chat_formatting, op6_packing, op7_fingerprints,
+        op1_token_counts, op3_url_filters, op4_quality_rules, op5_chat_formatting, op6_packing, op7_fingerprints, op8_lm_scoring,
         op9_minhash, op10_suffix_dedup)
 }
 
