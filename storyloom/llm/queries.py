@@ -9,11 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm import chat, imatch, lm, neardup, packing, quality, sections, substrings, urlfilter
+from storyloom.llm import chat, imatch, lm, neardup, packing, quality, sections, substrings, urlfilter, viterbi
 
 VOCABULARY = os.environ.get("STORYLOOM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
 
+PIECES = os.environ.get("STORYLOOM_PIECES") or public_tokenizers.path("piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,6 +26,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.section_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether they read back as its text."""
+    docs = table(spark, sf_dir, "documents")
+    back = viterbi.decode(viterbi.encode(docs, PIECES), PIECES)
+    return back.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), F.length("text").cast("long").alias("decoded_chars"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page as of its fetch time, the time of the event of its number."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -74,7 +85,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_token_counts, op3_url_filters, op4_quality_rules, op5_chat_formatting, op6_packing, op7_fingerprints, op8_lm_scoring,
+        op1_token_counts, op2_sentencepiece, op3_url_filters, op4_quality_rules, op5_chat_formatting, op6_packing, op7_fingerprints, op8_lm_scoring,
         op9_minhash, op10_suffix_dedup)
 }
 
