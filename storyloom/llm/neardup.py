@@ -11,9 +11,10 @@ the exact Jaccard similarity of the distinct shingles.
 
 Large groups. Texts with the same words are one text from the start. A band bucket is
 compared with its most widely shared member only, so a group of k near copies costs k
-comparisons; the buckets that still hold several components are then compared in blocks of
-bounded size, across components only: a pair goes on if the shingles that each text has in
-common with any other could suffice and its signatures agree, and is then compared exactly. So no link
+comparisons. The members of buckets that still hold several components form families (texts
+that buckets connect), which are compared in blocks of bounded size, across components only:
+if the shingles that each text has in common with any other could suffice and the signatures
+agree, the pair is compared exactly, and two components of a block send one link. So no link
 between different texts is lost and no group emits all its pairs.
 """
 
@@ -155,35 +156,48 @@ def _buckets(unique: DataFrame, places: int, band: int) -> DataFrame:
 
 
 def _across(members: DataFrame, threshold: float, least: float, block: int = 256) -> DataFrame:
-    """Pairs of one bucket but different components that can be alike: the shingles that
-    each of them has in ``common`` with any other member suffice for ``threshold``, and their
-    signatures agree in at least the share ``least`` of places. Buckets (of ``n`` members) are
-    compared in blocks of about ``block`` members, each pair of blocks in one group."""
+    """Alike pairs ``(a, b)`` of one family but different components, one for each two
+    components of a block. A pair is compared exactly if the shingles that each has in
+    ``common`` with any other member suffice and its signatures agree in at least the share
+    ``least`` of places. Families (of ``n`` members) are compared in blocks of about
+    ``block`` members, each pair of blocks in one group."""
     cells = members.withColumn("n", F.ceil(F.col("n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    cells = cells.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                         "doc_id", "component", "sig", "n_shingles", "common")
-    cells = cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "doc_id")
+    cells = cells.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         "doc_id", "component", "sig", "common", "shingles")
+    cells = cells.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "doc_id")
 
     def flush(group: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(group)
-        ids, comp = t["doc_id"].to_numpy(), t["component"].to_numpy()
-        size, common = t["n_shingles"].to_numpy(), t["common"].to_numpy()
+        t = pa.Table.from_batches(group).combine_chunks()
+        ids, comp, common = (t[c].to_numpy() for c in ("doc_id", "component", "common"))
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
-        left, right = [], []
+        lists = t["shingles"].chunk(0)
+        size = lists.value_lengths().to_numpy(zero_copy_only=False)
+        flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), size)
+        ends = np.cumsum(size)
+        links, seen = [], set()
         for k in range(len(ids) - 1):
-            most = np.minimum(common[k + 1:], common[k])
-            rest = np.flatnonzero((comp[k + 1:] != comp[k]) & (most * (1 + threshold) >= threshold * (size[k + 1:] + size[k]))) + k + 1
+            could = (comp != comp[k]) & (np.minimum(common, common[k]) * (1 + threshold) >= threshold * (size + size[k]))
+            could[:k + 1] = False
+            rest = np.flatnonzero(could)
             rest = rest[(sig[rest] == sig[k]).mean(axis=1) >= least]
-            left.append(np.full(len(rest), ids[k]))
-            right.append(ids[rest])
-        cat = lambda x: np.concatenate([np.zeros(0, np.int64), *x])
-        return pa.RecordBatch.from_arrays([pa.array(cat(left)), pa.array(cat(right))], ["a", "b"])
+            if not len(rest):
+                continue
+            own = np.sort(flat[ends[k] - size[k]:ends[k]])
+            begin = ends[rest[0]] - size[rest[0]]
+            other, whose = flat[begin:ends[rest[-1]]], owner[begin:ends[rest[-1]]]
+            hit = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            both = np.bincount(whose[hit], minlength=len(ids))[rest]
+            for r in rest[both >= threshold * (size[rest] + size[k] - both)]:
+                if (comp[k], comp[r]) not in seen:
+                    seen.add((comp[k], comp[r]))
+                    links.append((ids[k], ids[r]))
+        return pa.RecordBatch.from_arrays([pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], ["a", "b"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
         for batch in batches:
-            cols = np.stack([batch.column(c).to_numpy() for c in ("bucket", "i", "j")], axis=1)
+            cols = np.stack([batch.column(c).to_numpy() for c in ("family", "i", "j")], axis=1)
             cuts = np.flatnonzero((cols[1:] != cols[:-1]).any(axis=1)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(cols)]):
                 if a == b:
@@ -196,7 +210,7 @@ def _across(members: DataFrame, threshold: float, least: float, block: int = 256
         if group:
             yield flush(group)
 
-    return cells.mapInArrow(compare, "a long, b long").distinct()
+    return cells.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, places: int = PLACES, band: int = BAND) -> DataFrame:
@@ -228,20 +242,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, pla
     labelled = shared.select("bucket", "doc_id").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     labelled = durable(labelled.withColumn("component", F.coalesce("component", "doc_id")))
     several = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-    open_buckets = several.filter("lo < hi AND n > 2").select("bucket", "n")
-    members = labelled.join(open_buckets, "bucket")
+    loose = labelled.join(several.filter("lo < hi AND n > 2").select("bucket"), "bucket", "left_semi").select("doc_id", "component").distinct()
+    families = components(pairs).withColumnsRenamed({"id": "doc_id", "component": "family"})
+    loose = durable(loose.join(families, "doc_id"))
+    members = loose.join(loose.groupBy("family").agg(F.count("*").alias("n")), "family")
     path = scratch_path(spark, "shingles")
-    shingle_sets(docs, members.select("doc_id").distinct(), width).write.parquet(path)
+    shingle_sets(docs, loose.select("doc_id"), width).write.parquet(path)
     sets = spark.read.parquet(path)
     alone = sets.select("doc_id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
     alone = alone.filter("n = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-    common = (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).cast("int")
-    facts = unique.select("doc_id", "sig", "n_shingles").join(alone, "doc_id", "left").withColumn("common", common).drop("alone")
-    rest = durable(_across(members.join(facts, "doc_id"), threshold, threshold - 0.2).join(pairs, ["a", "b"], "left_anti"))
-    one, two = (sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
-    both = rest.join(one, "a").join(two, "b").withColumn("both", F.size(F.array_intersect("of_a", "of_b")))
-    alike = F.col("both") >= threshold * (F.size("of_a") + F.size("of_b") - F.col("both"))
-    links = links.union(both.filter(alike).select("a", "b")).union(copies)
+    common = (F.size("shingles") - F.coalesce("alone", F.lit(0))).cast("int")
+    facts = sets.dropDuplicates(["doc_id"]).join(alone, "doc_id", "left").withColumn("common", common).drop("alone")
+    facts = facts.join(unique.select("doc_id", "sig"), "doc_id")
+    links = links.union(_across(members.join(facts, "doc_id"), threshold, threshold - 0.2)).union(copies)
 
     final = components(links).withColumnRenamed("id", "doc_id")
     every = docs.filter("doc_id IS NOT NULL").select("doc_id").distinct()

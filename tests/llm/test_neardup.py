@@ -47,12 +47,18 @@ def test_links_between_members_that_are_unlike_the_leader(spark, prose):
     assert got == plain.classes(texts)
 
 
-def test_buckets_compared_in_blocks(spark):
+def test_families_compared_in_blocks(spark):
     rng = np.random.default_rng(1)
-    sigs = [np.repeat(rng.integers(0, 2 ** 32, 8), 16).astype(np.uint32) for _ in range(6)]
-    rows = [(5, i, i, sigs[i % 6].tobytes(), 10, 10, 60) for i in range(60)]
-    frame = spark.createDataFrame(rows, "bucket long, doc_id long, component long, sig binary, n_shingles int, common int, n long")
-    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 6 == b % 6}
+    base = [rng.choice(10 ** 6, 40, replace=False) for _ in range(6)]
+    sets = [np.append(base[i % 6][:36 + i % 5], 10 ** 7 + i) for i in range(60)]
+    sig = [np.full(8, i % 6, np.uint32).tobytes() for i in range(60)]
+    rows = [(5, i, i, sig[i], len(s) - 1, s.tolist(), 60) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "family long, doc_id long, component long, sig binary, common int, shingles array<long>, n long")
+    def like(a, b):
+        both = len(set(sets[a].tolist()) & set(sets[b].tolist()))
+        return both >= 0.8 * (len(sets[a]) + len(sets[b]) - both)
+
+    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if like(a, b)}
     for block in (7, 100):
         assert {tuple(sorted((r.a, r.b))) for r in neardup._across(frame, 0.8, 0.6, block).collect()} == want
 
