@@ -84,6 +84,13 @@ class Numbers(dict):
         return np.append(out, recurrent.END)
 
 
+class Gains(dict):
+    """Logarithms of counts, not a number for words without."""
+
+    def __missing__(self, word: bytes) -> float:
+        return np.nan
+
+
 def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], rounds: int, replicas: int, learn_every: int, rate: float) -> recurrent.Model:
     """Train on every training text of ``docs``. A replica's texts are read as a stream in
     groups; its parameters return in slices, which Spark averages."""
@@ -119,8 +126,8 @@ def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], roun
     return model
 
 
-def score_documents(docs: DataFrame, vocabulary: int = 2048, head: int = 50_000, hidden: int = 16, rounds: int = 3, replicas: int = 64,
-                    learn_every: int = 4, rate: float = 0.1) -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: int = 1024, head: int = 50_000, hidden: int = 16, rounds: int = 3, replicas: int = 64,
+                    learn_every: int = 8, rate: float = 0.1) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     ``base_score`` is the log10 probability under smoothed word counts, ``score`` under the recurrent
@@ -175,26 +182,22 @@ def score_documents(docs: DataFrame, vocabulary: int = 2048, head: int = 50_000,
         own, numbers = recurrent.Model(words, classes, hidden, flat), Numbers(listed)
         size = len(listed)
         # log10 of (c + 0.5) of frequent words; other words come with their counts later.
-        gain = {w: np.log10(c + 0.5) for w, c in often.items()}
+        gain = Gains({w: np.log10(c + 0.5) for w, c in often.items()})
         for batch in chunks(batches, size=4 << 20):
             split = [tokens(t) for t in _texts(batch)]
             group = [numbers.of(w) for w in split]
             score = recurrent.run(own, group) / np.log(10)
             rows = []
             for i, (w, number) in enumerate(zip(split, group)):
-                tail: Counter = Counter()
-                seen, gained, within = int(often[END_WORD] > 0), gain[END_WORD], 0.0
-                for word, k in zip(w, number):
-                    g = gain.get(word)
-                    if g is None:
-                        tail[word] += 1
-                        within -= shaped[k - size]
-                    else:
-                        seen += 1
-                        gained += g
-                        if k >= size:
-                            within += g - shaped[k - size]
-                rows.append((len(number), seen, gained - len(number) * np.log10(whole), score[i] + within, list(tail), list(tail.values())))
+                got = np.fromiter(map(gain.__getitem__, w), float, len(w))
+                rare = np.flatnonzero(np.isnan(got))
+                tail = Counter([w[r] for r in rare])
+                got[rare] = 0
+                beyond = number[:-1] >= size
+                within = got[beyond].sum() - shaped[number[:-1][beyond] - size].sum()
+                gained = got.sum() + gain[END_WORD] - len(number) * np.log10(whole)
+                seen = len(w) - len(rare) + int(often[END_WORD] > 0)
+                rows.append((len(number), seen, gained, score[i] + within, list(tail), list(tail.values())))
             cols = list(zip(*rows))
             cut = pa.array(np.cumsum([0, *map(len, cols[4])]).astype(np.int32))
             flat_words = pa.array([x for t in cols[4] for x in t], pa.binary())

@@ -15,7 +15,7 @@ import zlib
 import numpy as np
 
 END = 0  # the word number of a text's end
-SHAPES = 96
+SHAPES = 32
 
 
 def shape(word: bytes) -> int:
@@ -60,10 +60,12 @@ class Model:
         """State after one word for many documents at once."""
         k = self.hidden
         a, u = self.E[x] + self.b, h @ self.U
-        z = 1 / (1 + np.exp(-(a[:, :k] + u[:, :k])))
-        r = 1 / (1 + np.exp(-(a[:, k:2 * k] + u[:, k:2 * k])))
+        both = np.exp(-(a[:, :2 * k] + u[:, :2 * k]))
+        both += 1
+        np.reciprocal(both, out=both)
+        z, r = both[:, :k], both[:, k:]
         n = np.tanh(a[:, 2 * k:] + r * u[:, 2 * k:])
-        return (1 - z) * n + z * h, z, r, n, u[:, 2 * k:]
+        return n + z * (h - n), z, r, n, u[:, 2 * k:]
 
     def loss(self, h: np.ndarray, number: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probability of words given states; adds gradients of its negative."""
@@ -112,12 +114,12 @@ def _columns(docs: list[np.ndarray], lanes: int) -> list[list[np.ndarray]]:
     return out
 
 
-def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 256, rate: float = 0.0, clip: float = 1.0,
+def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 512, rate: float = 0.0, clip: float = 1.0,
         memory: np.ndarray | None = None, learn_every: int = 1) -> np.ndarray:
     """Log-probability of every document (arrays of word numbers that finish with END). Lanes
     read documents one after another in lockstep, and a lane's state is zero where a document
     begins. With a ``rate``, every ``learn_every``-th window is learnt from (Adagrad, whose
-    squares stand in ``memory``)."""
+    squares stand in ``memory``), and the scores are those of these windows."""
     scores = np.zeros(len(docs))
     if not docs:
         return scores
@@ -138,17 +140,20 @@ def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 256
     k = model.hidden
     for number, at in enumerate(range(0, longest, window)):
         rows = range(at, min(longest, at + window))
+        learn = rate > 0 and number % learn_every == 0
         kept, states = [], []
         for t in rows:
             n = live[t]
             h = np.where(fresh[t, :n, None], np.float32(0), h[:n])
             after, *gates = model.step(before[t, :n], h)
-            kept.append((h, *gates))
+            if learn:
+                kept.append((h, *gates))
             states.append(after)
             h = after
+        if rate > 0 and not learn:
+            continue
         flat = np.concatenate(states)
         target = np.concatenate([words[t, :live[t]] for t in rows])
-        learn = rate > 0 and number % learn_every == 0
         grad = None
         if learn:
             g = Model(model.words, model.classes, model.hidden, np.zeros_like(model.flat))

@@ -30,7 +30,7 @@ def test_probabilities_add_up(model):
 
 
 def test_state_is_carried_and_lanes_do_not_mix(model):
-    docs = _docs(2, 30, 60)
+    docs = _docs(2, 30, 55)
     alone = [recurrent.run(model, [d])[0] for d in docs]
     for window, lanes in ((1, 3), (7, 256), (500, 30)):
         assert np.allclose(recurrent.run(model, docs, window, lanes), alone, rtol=1e-4)
