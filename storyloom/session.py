@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,12 @@ def session(name: str = "storyloom", master: str | None = None, **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors reach, as the cluster names it. Only a session
-    that names none (a local test) gets a temporary folder."""
+    """The folder that all executors reach, as the cluster names it. Only a local
+    session that names none (a test) gets a temporary folder."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="storyloom-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(named)
