@@ -90,14 +90,18 @@ def prefix_shingle(body: Column, chars: int = 300) -> Column:
     return F.regexp_replace(F.lower(F.substring(body, 1, chars)), NON_WORD, "")
 
 
+# What the encoder wants before a text, and what joins title and body.
+PASSAGE, SENTENCE_END = "passage: ", ". "
+
+
 def passage_text(title: Column, body: Column) -> Column:
     """Encoder input: a prefix, then title and body with nothing between them."""
-    return F.concat(F.lit("passage: "), title, body)
+    return F.concat(F.lit(PASSAGE), title, body)
 
 
 def sentence_text(title: Column, body: Column) -> Column:
     """Classifier input: title and body joined as two sentences."""
-    return F.concat(title, F.lit(". "), body)
+    return F.concat(title, F.lit(SENTENCE_END), body)
 
 
 def word_shingles(text: Column, width: int = 3) -> Column:

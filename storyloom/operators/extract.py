@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html as markup
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,6 +25,26 @@ _PARAGRAPH_END = (
 _TAG = r"<[^>]*>"
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']+)["']"""
 _SITE = r"\A([a-zA-Z]+://[^/?#]+)"
+_SCHEME = r"\A[a-zA-Z][a-zA-Z0-9+.-]*:"
+# Character references but the named ones of ``text.ENTITIES``.
+_REFERENCE = r"&(?!(?:nbsp|amp|lt|gt|quot|apos|#39);)(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+_REFERENCES = re.compile(_REFERENCE)
+
+
+def _spell(match: re.Match) -> str:
+    """A reference as its characters; those of markup as references that are decoded last."""
+    return markup.escape(markup.unescape(match[0])) if markup.unescape(match[0]) != match[0] else match[0]
+
+
+def _spell_out(pages: pd.Series) -> pd.Series:
+    return pages.map(lambda page: None if page is None else _REFERENCES.sub(_spell, page))
+
+
+def spell_references(page: Column) -> Column:
+    """Numeric and further named references of a page as characters. Only pages that hold
+    any go through Arrow; all others are sent as NULL and keep their value."""
+    spell_out = F.pandas_udf(_spell_out, "string")
+    return F.coalesce(spell_out(F.when(page.rlike(_REFERENCE), page)), page)
 
 
 def decode(fragment: Column) -> Column:
@@ -49,7 +71,7 @@ def extract_article(pages: DataFrame, html: str = "html") -> DataFrame:
 
     # inline() parses each page once: a later filter on the body cannot be pushed
     # below a generator and repeat the work.
-    seen = F.regexp_replace(F.col(html), _UNSEEN, "")
+    seen = spell_references(F.regexp_replace(F.col(html), _UNSEEN, ""))
     return pages.select("*", F.inline(F.transform(F.array(seen), parse)))
 
 
@@ -69,14 +91,45 @@ def extract_with(
 
 
 def extract_links(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """One row per page and distinct link; paths are resolved against the page's site."""
+    """One row per page and distinct address that its links lead to: resolved against the
+    page's address, without fragments. Links within the page and those that are not
+    http or https (``mailto:``, ``javascript:``) are left out."""
     seen = F.regexp_replace(F.col(html), _UNSEEN, "")
-    links = F.explode(F.array_distinct(F.regexp_extract_all(seen, F.lit(_LINK), F.lit(1)))).alias("link")
-    site = F.regexp_extract(F.col(url), _SITE, 1)
+    links = F.transform(F.regexp_extract_all(seen, F.lit(_LINK), F.lit(1)), lambda link: resolve(link, F.col(url)))
     keys = [c for c in pages.columns if c != html]
-    found = pages.select(*keys, links)
-    absolute = F.when(F.col("link").startswith("/"), F.concat(site, F.col("link"))).otherwise(F.col("link"))
-    return found.withColumn("link", absolute)
+    return pages.select(*keys, F.explode(F.array_distinct(F.filter(links, lambda link: link.isNotNull()))).alias("link"))
+
+
+def resolve(link: Column, base: Column) -> Column:
+    """The http address that a link on the page ``base`` leads to; NULL if it leads nowhere else."""
+    target = F.regexp_replace(text.strip(F.replace(link, F.lit("&amp;"), F.lit("&"))), r"#.*\z", "")
+    site, page = F.regexp_extract(base, _SITE, 1), F.regexp_replace(base, r"(?s)[?#].*\z", "")
+    folder = F.when(page == site, F.concat(page, F.lit("/"))).otherwise(F.regexp_replace(page, r"[^/]*\z", ""))
+    full = (
+        F.when(target == "", None)
+        .when(target.rlike(r"(?i)\Ahttps?://[^/]"), target)
+        .when(target.rlike(_SCHEME), None)
+        .when(target.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), target))
+        .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(page, target))
+        .otherwise(F.concat(folder, target))
+    )
+    return F.when(full.rlike(r"\A[^?]*/\.\.?(?:[/?]|\z)"), _without_dots(full)).otherwise(full)
+
+
+def _without_dots(address: Column) -> Column:
+    """An address whose path goes neither up nor in place."""
+    site = F.regexp_extract(address, _SITE, 1)
+    path, query = F.regexp_extract(address, r"\A[a-zA-Z]+://[^/?]+([^?]*)", 1), F.regexp_extract(address, r"\?.*\z", 0)
+    # A path that ends with a dot segment names a folder.
+    parts = F.split(F.regexp_replace(path, r"(/\.\.?)\z", "$1/"), "/")
+    start = F.slice(parts, 1, 1)
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), start,
+        lambda done, part: F.when(part == ".", done)
+        .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(part))))
+    return F.concat(site, F.array_join(kept, "/"), query)
 
 
 def make_articles(

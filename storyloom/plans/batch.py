@@ -64,11 +64,15 @@ def load_batch(
     options: Options | None = None,
 ) -> bool:
     """Curate a batch and commit it; False when the run is in the warehouse already or
-    the batch is empty."""
+    the batch is empty. Lines that cannot be read and rows without a title or body go to
+    ``quarantine/{run_id}`` before the commit, with reason and origin."""
     if warehouse.is_committed(spark, root, run_id) or raw.isEmpty():
         return False
+    usable, bad = stage.split_usable(raw)
+    # The folder is the run's own, so a run repeated after a failure replaces it.
+    bad.write.mode("overwrite").json(warehouse.quarantine_path(root, run_id))
     stored = {name: warehouse.read_table(spark, root, name) for name in warehouse.WAREHOUSE}
-    changed = curate(raw, stored, run_date, loaded_at, options)
+    changed = curate(usable, stored, run_date, loaded_at, options)
     warehouse.commit_warehouse(spark, root, changed, run_id, changes=True)
     if len(warehouse.folders(spark, root)) > MAX_FOLDERS:
         warehouse.compact(spark, root, f"{run_id}-compact")

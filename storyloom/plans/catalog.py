@@ -250,7 +250,8 @@ UNSEEN = extract._UNSEEN
 
 def decode_sql(fragment: str) -> str:
     out = f"regexp_replace({fragment}, '{extract._TAG}', '', 'g')"
-    for entity, char in [e for e in text.ENTITIES if e[1] != "&"] + [("&amp;", "&")]:
+    further = [("&middot;", "\u00b7"), ("&copy;", "\u00a9")]  # the others that the pages hold
+    for entity, char in further + [e for e in text.ENTITIES if e[1] != "&"] + [("&amp;", "&")]:
         quoted = char.replace("'", "''")
         out = f"replace({out}, '{entity}', '{quoted}')"
     return rf"regexp_replace({out}, '\A{SPACE}+|{SPACE}+\z', '', 'g')"
@@ -274,12 +275,26 @@ def extract_article(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(with_(f"seen AS (SELECT page_id, url, regexp_replace(html, '{UNSEEN}', '', 'g') AS html FROM pages)",
-             """links AS (SELECT DISTINCT page_id, url,
-               unnest(regexp_extract_all(html, '""" + extract._LINK.replace("'", "''") + """', 1)) AS link FROM seen)""",
-             select=rf"""SELECT page_id, url, CASE WHEN starts_with(link, '/')
-               THEN regexp_extract(url, '{extract._SITE}', 1) || link ELSE link END AS link FROM links"""))
+             """hrefs AS (SELECT page_id, url, unnest(regexp_extract_all(html,
+               '<[aA]\\s[^>]*?[hH][rR][eE][fF]\\s*=\\s*["'']([^"'']+)["'']', 1)) AS href FROM seen)""",
+             """made AS (SELECT page_id, url, split_part(url, '://', 1) AS scheme, split_part(split_part(url, '://', 2), '/', 1) AS host,
+               split_part(split_part(url, '?', 1), '#', 1) AS page, href, page_id % 7 AS trap FROM hrefs)""",
+             select="""SELECT DISTINCT page_id, url, CASE trap
+               WHEN 1 THEN scheme || ':/' || href
+               WHEN 2 THEN left(page, length(page) - length(split_part(page, '/', -1))) || substr(href, 2)
+               WHEN 3 THEN page || '?q=' || substr(href, 2) || '&r=1'
+               ELSE scheme || '://' || host || href END AS link
+             FROM made WHERE trap NOT IN (4, 5)"""))
 def extract_links(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.extract_links(A.pages(spark, sf))
+    """Links of all pages. By page, they are turned into other kinds: of another host, relative,
+    queries, addresses of mail, fragments, and paths with a fragment and a way up."""
+    kinds = {1: "href=\"/$1", 2: "href=\"./$1", 3: "href=\"?q=$1&amp;r=1", 4: "href=\"mailto:$1", 5: "href=\"#$1", 6: "href=\"/up/../$1#part"}
+    pages = A.pages(spark, sf)
+    html = F.col("html")
+    for kind, written in kinds.items():
+        target = r'href="/([^"]+)' if kind != 1 else r'href="(?=/)([^"]+)'
+        html = F.when(F.col("page_id") % 7 == kind, F.regexp_replace("html", target, written)).otherwise(html)
+    return extract.extract_links(pages.withColumn("html", html))
 
 
 @query(with_(EXTRACTED, f"""records AS (

@@ -40,6 +40,30 @@ def test_links_are_resolved_once_each(spark):
     assert [r.link for r in rows] == ["https://x.example/b", "http://y.example/c"]
 
 
+def test_links_of_every_kind(spark):
+    base = "https://x.example/news/day.html?n=1#top"
+    kinds = {
+        "//cdn.example/i": "https://cdn.example/i", "other.html": "https://x.example/news/other.html", "#end": None,
+        "mailto:a@x.example": None, "javascript:void(0)": None, "?p=2&amp;q=3": "https://x.example/news/day.html?p=2&q=3",
+        "/k#part": "https://x.example/k", "../up/./z": "https://x.example/up/z", "../../../far/..": "https://x.example/",
+        "HTTPS://Y.example/q?u=/../r": "HTTPS://Y.example/q?u=/../r"}
+    for link, wanted in kinds.items():
+        page = spark.createDataFrame([(base, f'<a href="{link}">x</a>')], "url string, html string")
+        assert [r.link for r in extract.extract_links(page).collect()] == [wanted] * (wanted is not None), link
+    same = '<a href="/a">1</a><a href="https://x.example/a">2</a><a href="/a#b">3</a>'
+    page = spark.createDataFrame([(base, same), (None, same), (base, None)], "url string, html string")
+    assert [r.link for r in extract.extract_links(page).collect() if r.url] == ["https://x.example/a"]
+    bare = spark.createDataFrame([("https://x.example", '<a href="c">1</a>')], "url string, html string")
+    assert extract.extract_links(bare).first().link == "https://x.example/c"
+
+
+def test_references_become_characters_once(spark):
+    html = "<h1>It&rsquo;s &#8212; &#x41;</h1><p>a &amp;lt; b &#60;i&#62; &amp;mdash; &nosuch; &#38;lt;</p>"
+    row = extract.extract_article(_page(spark, html)).first()
+    assert row.title == "It\u2019s \u2014 A"
+    assert row.body_lines == ["a &lt; b <i> &mdash; &nosuch; &lt;"]
+
+
 def test_records(spark):
     pages = extract.extract_article(_page(spark, PAGE.replace("First", "First " * 10)))
     base = pages.withColumn("source", F.lit("s"))

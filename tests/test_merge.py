@@ -113,3 +113,33 @@ def test_topics(spark):
     assert {r.event_id: r.topic for r in digest.topic_validate(df).collect()} == {"a": "politics", "b": "other", "c": "other"}
     summaries = spark.createDataFrame([("a",), ("z",)], "event_id string")
     assert {r.event_id: r.topic for r in digest.event_topics(summaries, df).collect()} == {"a": " Politics ", "z": "other"}
+
+
+def test_repeated_incoming_keys(spark):
+    rows = lambda data, schema: spark.createDataFrame(data, schema)
+    stored = rows([("a", 1)], "k string, v int")
+    new = rows([("b", 2, 1), ("b", 3, 2), ("a", 9, 3)], "k string, v int, pos int")
+    assert sorted(merge.insert_if_absent(stored, new, "k").collect()) == [("a", 1), ("b", 2)]
+    assert sorted(merge.load_full_replace(stored, new, "k").collect()) == [("a", 9), ("b", 3)]
+    # Without a position one row is chosen, the same in whatever order rows come.
+    loose = [("b", 2), ("b", 3)]
+    found = [merge.insert_if_absent(stored, rows(order, "k string, v int"), "k").where("k = 'b'").collect()
+             for order in (loose, loose[::-1])]
+    assert len(found[0]) == 1 and found[0] == found[1]
+    vectors = rows([("b", [1.0], 1), ("b", [2.0], 2)], "article_id string, embedding array<double>, pos int")
+    assert merge.upsert_vectors(vectors.drop("pos").limit(0), vectors, 1).collect() == [("b", [2.0])]
+    clusters = rows([("b", "e")], "article_id string, event_id string")
+    articles = rows([("b", "s", 1), ("b", "t", 2)], "article_id string, source string, pos int")
+    assert merge.event_stats(clusters, articles).collect() == [("e", 1, 1)]
+
+
+def test_joined_sides_count_once(spark):
+    cleaned = spark.createDataFrame(
+        [("a", "s", "u", "t", "b", "en", None, None)],
+        "article_id string, source string, url string, title string, body string, language string, published_at string, scraped_at string")
+    vectors = spark.createDataFrame([("a", [1.0], 1), ("a", [2.0], 2)], "article_id string, embedding array<double>, pos int")
+    bias = spark.createDataFrame([("a", "left", 0.5, {"left": 0.5}), ("a", "left", 0.5, {"left": 0.5})],
+                                 "article_id string, bias_label string, bias_confidence double, bias_scores map<string,double>")
+    clusters = spark.createDataFrame([("a", "e1", 1), ("a", "e2", 2)], "article_id string, event_id string, pos int")
+    row, = merge.join_outputs(cleaned, vectors, bias, clusters, "now").collect()
+    assert (row.embedding, row.event_id) == ([2.0], "e2")
