@@ -28,6 +28,7 @@ from storyloom.llm.textbytes import chunks
 from storyloom.session import scratch_path
 
 END_WORD = b"\n"  # no word holds a line feed
+GROUP = 12 << 20  # bytes of text that a task reads in lockstep
 
 
 def held_out(doc_id) -> bool:
@@ -84,11 +85,18 @@ class Numbers(dict):
         return np.append(out, recurrent.END)
 
 
-class Gains(dict):
-    """Logarithms of counts, not a number for words without."""
+class Places(dict):
+    """Places of frequent words in their table, or beyond it by shape. Remembers a bounded number."""
 
-    def __missing__(self, word: bytes) -> float:
-        return np.nan
+    def __init__(self, frequent: list[bytes], most: int = 300_000):
+        super().__init__(zip(frequent, range(len(frequent))))
+        self.size, self.most = len(frequent), most
+
+    def __missing__(self, word: bytes) -> int:
+        place = self.size + recurrent.shape(word)
+        if len(self) < self.most:
+            self[word] = place
+        return place
 
 
 def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], rounds: int, replicas: int, learn_every: int, rate: float) -> recurrent.Model:
@@ -103,7 +111,7 @@ def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], roun
             flat, known = sent.value
             own = recurrent.Model(words, classes, hidden, flat.copy())
             numbers, memory, seen = Numbers(known), np.full(len(flat), 1e-8, np.float32), 0
-            for batch in chunks(batches, size=4 << 20):
+            for batch in chunks(batches, size=GROUP):
                 group = [numbers.of(tokens(t)) for i, t in zip(batch.column("doc_id").to_pylist(), _texts(batch)) if not held_out(i)]
                 recurrent.run(own, group, rate=rate, memory=memory, learn_every=learn_every)
                 seen += sum(map(len, group))
@@ -127,7 +135,7 @@ def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], roun
 
 
 def score_documents(docs: DataFrame, vocabulary: int = 1024, head: int = 50_000, hidden: int = 16, rounds: int = 3, replicas: int = 64,
-                    learn_every: int = 8, rate: float = 0.1) -> DataFrame:
+                    learn_every: int = 6, rate: float = 0.1) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     ``base_score`` is the log10 probability under smoothed word counts, ``score`` under the recurrent
@@ -179,23 +187,28 @@ def score_documents(docs: DataFrame, vocabulary: int = 1024, head: int = 50_000,
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, listed, often = sent.value
-        own, numbers = recurrent.Model(words, classes, hidden, flat), Numbers(listed)
-        size = len(listed)
+        own, size = recurrent.Model(words, classes, hidden, flat), len(listed)
+        # The vocabulary first, then other frequent words; then a place for each shape.
+        inside = set(listed)
+        placed = [*listed, *[w for w in often if w not in inside]]
+        places, many = Places(placed), len(placed)
+        number_of = np.concatenate([np.arange(size), [size + recurrent.shape(w) for w in placed[size:]],
+                                    size + np.arange(recurrent.SHAPES)]).astype(np.int64)
         # log10 of (c + 0.5) of frequent words; other words come with their counts later.
-        gain = Gains({w: np.log10(c + 0.5) for w, c in often.items()})
-        for batch in chunks(batches, size=4 << 20):
+        gain = np.append(np.log10(np.array([often[w] for w in placed]) + 0.5), np.zeros(recurrent.SHAPES))
+        for batch in chunks(batches, size=GROUP):
             split = [tokens(t) for t in _texts(batch)]
-            group = [numbers.of(w) for w in split]
+            at = [np.fromiter(map(places.__getitem__, w), np.int64, len(w)) for w in split]
+            group = [np.append(number_of[a], recurrent.END) for a in at]
             score = recurrent.run(own, group) / np.log(10)
             rows = []
-            for i, (w, number) in enumerate(zip(split, group)):
-                got = np.fromiter(map(gain.__getitem__, w), float, len(w))
-                rare = np.flatnonzero(np.isnan(got))
+            for i, (w, a, number) in enumerate(zip(split, at, group)):
+                got = gain[a]
+                rare = np.flatnonzero(a >= many)
                 tail = Counter([w[r] for r in rare])
-                got[rare] = 0
                 beyond = number[:-1] >= size
                 within = got[beyond].sum() - shaped[number[:-1][beyond] - size].sum()
-                gained = got.sum() + gain[END_WORD] - len(number) * np.log10(whole)
+                gained = got.sum() + gain[recurrent.END] - len(number) * np.log10(whole)
                 seen = len(w) - len(rare) + int(often[END_WORD] > 0)
                 rows.append((len(number), seen, gained, score[i] + within, list(tail), list(tail.values())))
             cols = list(zip(*rows))

@@ -59,7 +59,8 @@ class Model:
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple:
         """State after one word for many documents at once."""
         k = self.hidden
-        a, u = self.E[x] + self.b, h @ self.U
+        a, u = self.E.take(x, axis=0), h @ self.U
+        a += self.b
         both = np.exp(-(a[:, :2 * k] + u[:, :2 * k]))
         both += 1
         np.reciprocal(both, out=both)
@@ -118,12 +119,13 @@ def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 512
         memory: np.ndarray | None = None, learn_every: int = 1) -> np.ndarray:
     """Log-probability of every document (arrays of word numbers that finish with END). Lanes
     read documents one after another in lockstep, and a lane's state is zero where a document
-    begins. With a ``rate``, every ``learn_every``-th window is learnt from (Adagrad, whose
+    begins; there are no more lanes than ones of the longest document's length would hold. With a ``rate``, every ``learn_every``-th window is learnt from (Adagrad, whose
     squares stand in ``memory``), and the scores are those of these windows."""
     scores = np.zeros(len(docs))
     if not docs:
         return scores
-    dealt = _columns(docs, min(lanes, len(docs)))
+    size = [len(d) for d in docs]
+    dealt = _columns(docs, min(lanes, len(docs), -(-sum(size) // max(size))))
     streams = [np.concatenate([docs[d] for d in lane]) for lane in dealt]
     owners = [np.repeat(lane, [len(docs[d]) for d in lane]) for lane in dealt]
     longest = max(map(len, streams))
@@ -136,6 +138,7 @@ def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 512
     live = (owner >= 0).sum(axis=1)
     before = np.vstack([np.full((1, len(streams)), END), words[:-1]])
     fresh = np.vstack([np.ones((1, len(streams)), bool), owner[1:] != owner[:-1]])
+    begins = fresh.any(axis=1)
     h = np.zeros((len(streams), model.hidden), np.float32)
     k = model.hidden
     for number, at in enumerate(range(0, longest, window)):
@@ -144,7 +147,7 @@ def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 512
         kept, states = [], []
         for t in rows:
             n = live[t]
-            h = np.where(fresh[t, :n, None], np.float32(0), h[:n])
+            h = np.where(fresh[t, :n, None], np.float32(0), h[:n]) if begins[t] else h[:n]
             after, *gates = model.step(before[t, :n], h)
             if learn:
                 kept.append((h, *gates))
@@ -159,7 +162,7 @@ def run(model: Model, docs: list[np.ndarray], window: int = 32, lanes: int = 512
             g = Model(model.words, model.classes, model.hidden, np.zeros_like(model.flat))
             grad = {"C": g.C, "W": g.W}
         logp, dh_all = model.loss(flat, target, grad)
-        np.add.at(scores, np.concatenate([owner[t, :live[t]] for t in rows]), logp)
+        scores += np.bincount(np.concatenate([owner[t, :live[t]] for t in rows]), weights=logp, minlength=len(docs))
         if not learn:
             continue
         cuts = np.cumsum([0, *[len(s) for s in states]])
