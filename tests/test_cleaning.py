@@ -22,7 +22,7 @@ def _normalized(spark, values):
 
 
 def test_white_space_collapses(spark):
-    assert _normalized(spark, ["  hello   \n\n world  "]) == ["hello world"]
+    assert _normalized(spark, ["\t north\r\n  wind\n\n\nrose "]) == ["north wind rose"]
 
 
 def test_normalisation_edge_cases(spark):
@@ -55,16 +55,16 @@ def test_cleaning_matches_the_sequential_rule(spark):
 
 
 def test_prefix_ignores_case_punctuation_and_the_rest(spark):
-    base = "The president announced a new policy " * 10
+    base = "Nine barges of gravel passed the lower lock " * 10
     rows = [{"article_id": "a", "body": base, "pos": 0}, {"article_id": "b", "body": base.upper().replace(" ", ", "), "pos": 1},
             {"article_id": "c", "body": base[:300] + "different", "pos": 2}]
     assert [r.article_id for r in clean.dedup_prefix(_articles(spark, rows)).collect() if r.article_id != "b"] == ["a"]
 
 
 def test_near_duplicate_ids(spark):
-    same = "The president announced a new policy today in Washington regarding trade."
+    same = "Nine barges of gravel passed the lower lock before the keeper had rung his bell."
     rows = [{"article_id": "a1", "body": same, "pos": 0}, {"article_id": "a2", "body": same, "pos": 1},
-            {"article_id": "a3", "body": "A completely different story about a local sports event.", "pos": 2}]
+            {"article_id": "a3", "body": "Snow closed the pass, and the mail went round by the valley.", "pos": 2}]
     assert {r.article_id for r in clean.near_duplicate_ids(_articles(spark, rows)).collect()} == {"a2"}
 
 

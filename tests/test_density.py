@@ -22,7 +22,7 @@ def _run(spark, points, min_size, min_samples, **options):
 
 def test_two_groups_of_three(spark):
     points = {f"a{i}": v for i, v in enumerate(
-        [(0, 0), (0.01, 0), (0, 0.01), (10, 10), (10.01, 10), (10, 10.01)])}
+        [(-3, 4), (-3.2, 4.1), (-2.9, 3.8), (21, -7), (21.3, -7.1), (20.8, -6.9)])}
     rows = density.hdbscan_soft(_frame(spark, points)).collect()
     events = {r.article_id: r.event_id for r in rows}
     assert len({events["a0"], events["a1"], events["a2"]}) == 1

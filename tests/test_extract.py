@@ -2,11 +2,8 @@ from pyspark.sql import functions as F
 
 from storyloom.operators import extract
 
-PAGE = """<html><body>
-  <h1>Breaking news</h1>
-  <p>First paragraph.</p>
-  <p>Second paragraph.</p>
-</body></html>"""
+PAGE = """<!DOCTYPE html><title>Harbour Post</title><main><h1 id="t">Ferry returns to the river</h1>
+<div><p class="lead">Boats left at dawn.</p><p>Crowds waited on both banks.</p></div></main>"""
 
 
 def _page(spark, html, url="https://x.example/a/1"):
@@ -15,8 +12,8 @@ def _page(spark, html, url="https://x.example/a/1"):
 
 def test_title_and_paragraphs(spark):
     row = extract.extract_article(_page(spark, PAGE)).first()
-    assert row.title == "Breaking news"
-    assert row.body_lines == ["First paragraph.", "Second paragraph."]
+    assert row.title == "Ferry returns to the river"
+    assert row.body_lines == ["Boats left at dawn.", "Crowds waited on both banks."]
 
 
 def test_traps(spark):
@@ -65,11 +62,11 @@ def test_references_become_characters_once(spark):
 
 
 def test_records(spark):
-    pages = extract.extract_article(_page(spark, PAGE.replace("First", "First " * 10)))
+    pages = extract.extract_article(_page(spark, PAGE.replace("Boats", "Boats " * 10)))
     base = pages.withColumn("source", F.lit("s"))
     for time_ut, expected in ((0, None), (None, None), (1704067200, "2024-01-01T00:00:00")):
         row = extract.make_articles(base.withColumn("time_ut", F.lit(time_ut).cast("long")), "2024-01-05T00:00:00").first()
         assert row.published_at == expected
     assert len(row.article_id) == 24 and row.language == "si"
-    assert row.body == "First First First First First First First First First First  paragraph.\n\nSecond paragraph."
+    assert row.body == "Boats " * 10 + " left at dawn.\n\nCrowds waited on both banks."
     assert extract.make_articles(base.withColumn("time_ut", F.lit(0)), "now", min_chars=500).isEmpty()
