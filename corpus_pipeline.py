@@ -37,12 +37,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the bytes of its repeated passages. A character that loses
-    some of its bytes goes whole; a document that loses every byte goes."""
-    cut = substrings.repeated_spans(docs).filter("n_bytes = 0 OR length(kept) > 0")
-    text = F.when(F.size("spans") > 0, F.regexp_replace(F.decode(F.expr("make_valid_utf8(cast(kept AS string))"), "UTF-8"), "�", ""))
-    changed = cut.select("doc_id", text.alias("cut"))
-    joined = docs.join(changed, "doc_id").withColumn("text", F.coalesce("cut", "text"))
-    return joined.withColumn("n_chars", F.when(F.col("cut").isNull(), F.col("n_chars")).otherwise(F.length("text"))).select(*COLUMNS)
+    some of its bytes goes whole; a document that loses every byte goes. Rows that repeat
+    an id are cut one by one; a null text stays null."""
+    given = docs.withColumn("no_text", F.col("text").isNull())
+    cut = substrings.repeated_spans(given, carry=("lang", "source", "n_chars", "no_text")).filter("n_bytes = 0 OR length(kept) > 0")
+    whole = F.col("kept").cast("string")
+    changed = F.regexp_replace(F.expr("make_valid_utf8(cast(kept AS string))"), "\ufffd", "")
+    shorter = F.size("spans") > 0
+    text = F.when(F.col("no_text"), F.lit(None)).when(shorter, changed).otherwise(whole)
+    return cut.withColumn("text", text).withColumn("n_chars", F.when(shorter, F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,16 +189,17 @@ def _judge(batches: Iterator[pa.RecordBatch], slack: int, length: int) -> Iterat
         yield flush(n, True) if core[0] == large else flush(held.num_rows, False)
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, kept, n_bytes, spans`` for each row: the bytes that stay, the size of the
-    whole text and the maximal removed runs (``start, length``), in order.
+    whole text and the maximal removed runs (``start, length``), in order. The columns that
+    ``carry`` names follow as they are in the row.
 
     A null or empty text has no bytes and no spans, a text shorter than ``length`` stays
     whole. Rows are told apart by id and text; a row that is there twice repeats itself.
     Strings are judged on the input, so every copy of a repeated string goes."""
     if not 1 < span <= length:
         raise ValueError("span must lie between 2 and length")
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"with_{c}") for c in carry])
     keyed = keyed.withColumn("key", F.xxhash64("doc_id", "text"))
 
     slack = span - 1
@@ -268,7 +269,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN) -> Data
             kept = data[~gone].tobytes()
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([kept[a:b] for a, b in zip(left, left[1:])], pa.binary()),
-                pa.array(np.diff(offsets)), spans], ["doc_id", "kept", "n_bytes", "spans"])
+                pa.array(np.diff(offsets)), spans, *[batch.column(f"with_{c}") for c in carry]], ["doc_id", "kept", "n_bytes", "spans", *carry])
 
-    schema = "doc_id long, kept binary, n_bytes long, spans array<struct<start: long, length: long>>"
-    return keyed.join(starts, "key", "left").select("doc_id", "text", "gone").mapInArrow(cut, schema)
+    kinds = [f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]
+    schema = "doc_id long, kept binary, n_bytes long, spans array<struct<start: long, length: long>>" + "".join(kinds)
+    return keyed.join(starts, "key", "left").select("doc_id", "text", "gone", *[f"with_{c}" for c in carry]).mapInArrow(cut, schema)

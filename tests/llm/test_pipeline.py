@@ -37,6 +37,17 @@ def test_stages_keep_the_columns(spark, docs, corpus, nothing):
     _check(pieces, texts, 1024)
 
 
+def test_passage_stage_keeps_repeated_ids_and_nulls_apart(spark, prose):
+    passage = prose(50, 120)
+    rows = [(1, prose(1, 80) + " " + passage, "en", "s", 5), (1, prose(2, 80) + " " + passage, "fr", "s", 6),
+            (None, prose(3, 80), "en", None, 7), (2, None, "en", "s", 0), (3, "", None, "s", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.repeated_passage_stage(spark, frame.selectExpr("*", "1 AS kept", "2 AS gone", "3 AS start"), "").collect()
+    assert len(got) == 5 and {(r.doc_id, r.lang) for r in got} == {(1, "en"), (1, "fr"), (None, "en"), (2, "en"), (3, None)}
+    assert {(r.text, r.n_chars) for r in got if r.doc_id in (None, 2, 3)} == {(rows[2][1], 7), (None, 0), ("", 0)}
+    assert all(passage not in r.text and r.n_chars == len(r.text) for r in got if r.doc_id == 1)
+
+
 def test_run_equals_stage_by_stage(spark, tmp_path, prose):
     passage = prose(50, 120)
     rows = [(i, prose(i, 120), "en", "s", 0) for i in range(20)]
