@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,8 +102,9 @@ class Places(dict):
 
 def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], rounds: int, replicas: int, learn_every: int, rate: float) -> recurrent.Model:
     """Train on every training text of ``docs``. A replica's texts are read as a stream in
-    groups; its parameters return in slices, which Spark averages."""
-    spark, slice_ = docs.sparkSession, 1 << 14
+    groups; its parameters return in slices, which Spark averages first by lots of about
+    the square root of ``replicas``, so that no group holds all of them."""
+    spark, slice_, lots = docs.sparkSession, 1 << 14, max(1, int(replicas ** 0.5))
     words, classes, hidden = model.words, model.classes, model.hidden
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast((model.flat, vocabulary))
@@ -117,17 +119,20 @@ def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], roun
                 seen += sum(map(len, group))
             if seen:
                 parts = [own.flat[i:i + slice_].tobytes() for i in range(0, len(flat), slice_)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(parts, pa.binary()),
-                                                  pa.array(np.full(len(parts), seen))], ["part", "flat", "seen"])
+                lot = np.full(len(parts), TaskContext.get().partitionId() % lots)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(lot), pa.array(parts, pa.binary()),
+                                                  pa.array(np.full(len(parts), seen))], ["part", "lot", "flat", "seen"])
 
         def mean(group: pa.Table) -> pa.Table:
             seen = group["seen"].to_numpy().astype(np.float64)
             total = sum(w * np.frombuffer(b.as_py(), np.float32) for w, b in zip(seen / seen.sum(), group["flat"]))
-            return pa.table({"part": group["part"][:1], "flat": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+            return pa.table({"part": group["part"][:1], "lot": group["lot"][:1], "flat": pa.array([total.astype(np.float32).tobytes()], pa.binary()),
+                             "seen": pa.array([int(seen.sum())], pa.int64())})
 
         share = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == turn)
-        found = share.coalesce(replicas).mapInArrow(learn, "part long, flat binary, seen long")
-        parts = found.groupBy("part").applyInArrow(mean, "part long, flat binary").orderBy("part").collect()
+        kinds = "part long, lot long, flat binary, seen long"
+        found = share.coalesce(replicas).mapInArrow(learn, kinds).groupBy("part", "lot").applyInArrow(mean, kinds)
+        parts = found.groupBy("part").applyInArrow(mean, kinds).select("part", "flat").orderBy("part").collect()
         if parts:
             model = recurrent.Model(words, classes, hidden, np.frombuffer(b"".join(r["flat"] for r in parts), np.float32).copy())
         sent.unpersist()
@@ -135,11 +140,12 @@ def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], roun
 
 
 def score_documents(docs: DataFrame, vocabulary: int = 1024, head: int = 50_000, hidden: int = 16, rounds: int = 3, replicas: int = 64,
-                    learn_every: int = 6, rate: float = 0.1) -> DataFrame:
+                    learn_every: int = 6, rate: float = 0.1, replica_tokens: int = 50_000_000) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     ``base_score`` is the log10 probability under smoothed word counts, ``score`` under the recurrent
-    model. A null or empty text is its end token alone. Rows without an id are training
+    model. There is one replica for every ``replica_tokens`` training tokens, ``replicas`` at
+    least where the table has as many splits. A null or empty text is its end token alone. Rows without an id are training
     rows (the text of a null id is ``None``); repeated rows count and return as often as they are
     there. Without any training row all counts are zero and the model is its start."""
     spark = docs.sparkSession
@@ -179,7 +185,7 @@ def score_documents(docs: DataFrame, vocabulary: int = 1024, head: int = 50_000,
     by_class = np.bincount(np.arange(words) % classes, weights=word_counts, minlength=classes)
     model.start(np.concatenate([by_class, sizes[0]]), word_counts)
     if n:
-        model = train(base, model, known, rounds, replicas, learn_every, rate)
+        model = train(base, model, known, rounds, max(replicas, -(-n // replica_tokens)), learn_every, rate)
 
     sent = spark.sparkContext.broadcast((model.flat, known, frequent))
     whole = n + 0.5 * (v + 1)
