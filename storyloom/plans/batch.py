@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.operators import assign, classify, clean, embed, merge
+from storyloom.operators import assign, classify, clean, embed, merge, neighbors
 from storyloom.session import durable
 from storyloom.sources import stage, warehouse
 
@@ -19,15 +20,31 @@ MAX_FOLDERS = 16
 
 @dataclass
 class Options:
-    """Models and thresholds of a run."""
+    """Models and thresholds of a run. ``model`` scores vectors, ``classifier`` texts; with
+    neither, the bias columns of new articles stay NULL and those of stored ones stay as
+    they are."""
 
     encoder: Callable | None = None
+    model: Transformer | None = None
     classifier: Callable | None = None
     min_body_chars: int = clean.MIN_BODY_CHARS
     languages: list[str] | None = None
+    k: int = neighbors.K_NEIGHBOURS
+    threshold: float = neighbors.DISTANCE_THRESHOLD
+    majority: float = neighbors.MAJORITY_RATIO
     density: dict[str, int] = field(default_factory=dict)
 
 
+def _bias(cleaned: DataFrame, vectors: DataFrame, options: Options) -> DataFrame:
+    if options.model is not None:
+        return classify.score_bias(vectors, options.model)
+    if options.classifier is not None:
+        return classify.classify_text(embed.model_text(cleaned, sentence=True), options.classifier)
+    return cleaned.selectExpr(
+        "article_id", "CAST(NULL AS STRING) AS bias_label", "CAST(NULL AS DOUBLE) AS bias_confidence",
+        "CAST(NULL AS MAP<STRING, DOUBLE>) AS bias_scores")
+
+
 def curate(
     raw: DataFrame, stored: dict[str, DataFrame], run_date: str, loaded_at: str, options: Options | None = None,
 ) -> dict[str, DataFrame]:
@@ -40,13 +57,14 @@ def curate(
         present = clean.language_filter(present, options.languages)
     cleaned = durable(clean.clean_articles(present, options.min_body_chars))
     vectors = durable(embed.embed_batches(embed.model_text(cleaned), options.encoder))
-    bias = classify.classify_text(embed.model_text(cleaned, sentence=True), options.classifier)
-    clusters = durable(assign.cluster_assignments(vectors, stored["articles"], run_date, **options.density))
+    bias = _bias(cleaned, vectors, options)
+    clusters = durable(assign.cluster_assignments(
+        vectors, stored["articles"], run_date, options.threshold, options.k, options.majority, **options.density))
 
     joined = stage.article_times(merge.join_outputs(cleaned, vectors, bias, clusters, loaded_at)).withColumn(
         "bias_scores", F.from_json("bias_scores", "map<string,double>"))
     created = F.lit(loaded_at).cast("timestamp")
-    counted = durable(merge.event_stats(clusters, cleaned))
+    counted = durable(merge.event_stats(clusters, stage.article_times(cleaned), with_window=True))
 
     def touched(table: str, incoming: DataFrame, key: str) -> DataFrame:
         return stored[table].join(incoming.select(key), key, "left_semi")

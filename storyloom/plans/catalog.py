@@ -412,9 +412,11 @@ def model_text(spark: SparkSession, sf: str) -> DataFrame:
     return passage.join(embed.model_text(rows, sentence=True).withColumnRenamed("text", "sentence"), "article_id")
 
 
-@query()
+@query(with_(A.ARTICLES, select="SELECT article_id, 1024::INT AS dimension, 1.0::DOUBLE AS norm FROM articles"))
 def embed_batches(spark: SparkSession, sf: str) -> DataFrame:
-    return embed.embed_batches(embed.model_text(A.articles(spark, sf)))
+    """The contract of any encoder: a unit vector of the warehouse's dimension per text."""
+    found = embed.embed_batches(embed.model_text(A.articles(spark, sf)))
+    return found.select("article_id", F.size("embedding").alias("dimension"), F.round(vectors.norm(F.col("embedding")), 5).alias("norm"))
 
 
 @query("""WITH t AS (SELECT label::VARCHAR AS id, CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END AS mask,
@@ -449,11 +451,26 @@ def vector_profile(spark: SparkSession, sf: str) -> DataFrame:
 # --- Classification ----------------------------------------------------------------
 
 
-@query()
+LABEL_LIST = ", ".join(f"'{x}'" for x in labels.BIAS_LABELS)
+
+
+def _score_facts(found: DataFrame) -> list[Column]:
+    """The sum of the scores, and whether label and confidence are those of the best one."""
+    scores = F.map_values("bias_scores")
+    return [F.round(F.aggregate(scores, F.lit(0.0), lambda a, x: a + x), 6).alias("score_sum"),
+            (F.col("bias_confidence") == F.array_max(scores)).alias("is_best"),
+            (F.col("bias_confidence") == F.element_at("bias_scores", F.col("bias_label"))).alias("is_labelled")]
+
+
+@query(with_(A.VECTORS, select=f"""SELECT article_id, ([{LABEL_LIST}])[label % 5 + 1] AS bias_label,
+  1.0::DOUBLE AS score_sum, true AS is_best, true AS is_labelled FROM vectors"""))
 def score_bias(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors with a far offset for their class, so that a fitted model must find it."""
     v = A.vectors(spark, sf).withColumn("label", F.col("label") % 5)
-    model = classify.fit_bias_model(v)
-    return classify.score_bias(v, model)
+    offset = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.when(i == F.col("label"), 10.0).otherwise(0.0))
+    v = v.withColumn("embedding", F.concat(F.col("embedding").cast("array<double>"), offset))
+    found = classify.score_bias(v, classify.fit_bias_model(v))
+    return found.select("article_id", "bias_label", *_score_facts(found))
 
 
 @query(with_(A.VECTORS, A.LOGITS, A.SCORES, select="""SELECT article_id, round(p[1], 6) AS p1, round(p[2], 6) AS p2,
@@ -471,9 +488,12 @@ def label_scores(spark: SparkSession, sf: str) -> DataFrame:
         F.element_at("bias_scores", "far_right").alias("far_right")), "bias_confidence", "far_left", "far_right")
 
 
-@query()
+@query(with_(A.ARTICLES, select="""SELECT article_id, 1.0::DOUBLE AS score_sum, true AS is_best, true AS is_labelled
+  FROM articles"""))
 def classify_text(spark: SparkSession, sf: str) -> DataFrame:
-    return classify.classify_text(embed.model_text(A.articles(spark, sf), sentence=True))
+    """The contract of any classifier; which label wins is up to the weights."""
+    found = classify.classify_text(embed.model_text(A.articles(spark, sf), sentence=True))
+    return found.select("article_id", *_score_facts(found))
 
 
 # --- Neighbours and events ---------------------------------------------------------

@@ -143,3 +143,15 @@ def test_joined_sides_count_once(spark):
     clusters = spark.createDataFrame([("a", "e1", 1), ("a", "e2", 2)], "article_id string, event_id string, pos int")
     row, = merge.join_outputs(cleaned, vectors, bias, clusters, "now").collect()
     assert (row.embedding, row.event_id) == ([2.0], "e2")
+
+
+def test_event_windows_span_both_sides(spark):
+    shape = "event_id string, article_count bigint, source_count bigint, window_start timestamp, window_end timestamp"
+    rows = spark.createDataFrame([("e", 1, 1, "03", "04"), ("f", 1, 1, None, None)], "event_id string, article_count bigint, source_count bigint, a string, b string")
+    more = spark.createDataFrame([("e", 1, 1, "02", "03"), ("f", 1, 1, "05", "06")], rows.schema)
+
+    def timed(df):
+        return df.selectExpr("event_id", "article_count", "source_count", *[f"CAST('2024-01-' || {c} AS TIMESTAMP) AS {n}" for c, n in (("a", "window_start"), ("b", "window_end"))]).to(spark.createDataFrame([], shape).schema)
+
+    found = {r.event_id: (r.article_count, r.window_start.day, r.window_end.day) for r in merge.upsert_events(timed(rows), timed(more)).collect()}
+    assert found == {"e": (2, 2, 4), "f": (2, 5, 6)}
