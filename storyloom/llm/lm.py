@@ -4,8 +4,8 @@
 2. The most frequent words are the vocabulary of ``recurrent.Model``; their number, and so
    the model's size, is a parameter. Every training text takes part in one of ``rounds``
    rounds of training: each task trains a replica on its share, and the replicas are
-   averaged place by place, weighted by their words. A replica reads every word of its share
-   and learns from every ``learn_every``-th window of it.
+   averaged place by place, weighted by their words. A replica learns from every window of its
+   share once, so every training token gives a loss and a gradient.
 3. Every document is scored whole. The probability of a word outside the vocabulary needs
    its training count, which a join brings by word; frequent words were looked up from a
    table of fixed size (``head``) before.
@@ -139,8 +139,8 @@ def train(docs: DataFrame, model: recurrent.Model, vocabulary: list[bytes], roun
     return model
 
 
-def score_documents(docs: DataFrame, vocabulary: int = 1024, head: int = 50_000, hidden: int = 16, rounds: int = 3, replicas: int = 64,
-                    learn_every: int = 6, rate: float = 0.1, replica_tokens: int = 50_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, vocabulary: int = 2048, head: int = 50_000, hidden: int = 16, rounds: int = 3, replicas: int = 64,
+                    learn_every: int = 1, rate: float = 0.1, replica_tokens: int = 50_000_000) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     ``base_score`` is the log10 probability under smoothed word counts, ``score`` under the recurrent

@@ -15,7 +15,7 @@ import zlib
 import numpy as np
 
 END = 0  # the word number of a text's end
-SHAPES = 32
+SHAPES = 96
 
 
 def shape(word: bytes) -> int:

@@ -1,5 +1,6 @@
 """The recurrent language model: gradients, probabilities and scores."""
 
+import inspect
 import math
 import zlib
 from collections import Counter
@@ -100,6 +101,29 @@ def test_model_beats_counts_where_words_follow_each_other(spark):
     assert sum(r.score for r in rows) > 0.8 * sum(r.base_score for r in rows)
 
 
+def test_every_window_of_a_text_is_learnt_from_by_default(spark):
+    """Words after the first window follow a rule that the first window does not show."""
+    names = [f"w{k}" for k in range(40)]
+
+    def text(i):
+        rng = np.random.default_rng(i)
+        at, out = int(rng.integers(40)), ["start"] * 32
+        for _ in range(128):
+            out.append(names[at])
+            at = (at * 7 + 3) % 40
+        return " ".join(out)
+
+    frame = spark.createDataFrame([(i, text(i)) for i in range(400)], "doc_id long, text string").repartition(1)
+    rows = [r for r in lm.score_documents(frame, rounds=6, rate=0.3).collect() if r.held_out]
+    bound = 128 * math.log10(1 / 40)  # of the later words, by their counts alone
+    assert rows and np.mean([r.score for r in rows]) > 0.6 * bound
+
+
+def test_size_of_the_model_by_default():
+    default = {k: p.default for k, p in inspect.signature(lm.score_documents).parameters.items()}
+    assert default["learn_every"] == 1 and default["vocabulary"] >= 2048 and recurrent.SHAPES >= 96
+
+
 def test_odd_rows(spark, nothing):
     assert lm.score_documents(nothing).count() == 0
     frame = spark.createDataFrame([(None, None), (1, ""), (1, ""), (2, "A b É")], "doc_id long, text string").selectExpr("*", "1 AS row", "2 AS words")
