@@ -5,9 +5,12 @@ Method. The distinct shingles of five words of a text, each weighted by
 arrival picks one of 128 signature places at random; a place holds the shingle that
 arrived there first. A shingle is done as soon as its next arrival comes later than the
 last of the text's places (early termination). Two places of two texts agree with the
-probability Jaccard similarity of the weighted sets. Thirty-two bands of four places give
-candidates (a pair at 0.8 is missed once in 20 million), and every candidate is verified by
-the exact Jaccard similarity of the distinct shingles.
+probability Jaccard similarity of the weighted sets, which a repeated line can make much
+smaller than the plain one. So each text has a second signature with weight 1 for every
+shingle, whose places agree with the plain Jaccard similarity itself (the two are the same
+where no shingle repeats). Thirty-two bands of four places of each give candidates (a pair
+at a plain 0.8 is missed once in 20 million), and every candidate is verified by the exact
+Jaccard similarity of the distinct shingles.
 
 Large groups. Texts with the same words are one text from the start. A band bucket is
 compared with its most widely shared member only, so a group of k near copies costs k
@@ -85,23 +88,27 @@ def prob_minhash(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, tex
 
 
 def signatures(docs: DataFrame, width: int = 5, places: int = PLACES) -> DataFrame:
-    """``doc_id, n_shingles, h1, h2`` (digests of the words) and ``sig`` (the places as
-    32-bit numbers) of every text with a word; null ids and texts without words have none."""
+    """``doc_id, n_shingles, h1, h2`` (digests of the words), ``sig`` (the places as 32-bit
+    numbers, every shingle of weight 1) and ``weighted`` (those by counts, null where no shingle
+    repeats and both are the same) of every text with a word; null ids and texts without words have none."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             data, offsets = utf8(batch.column("text"))
             owner, shingle, digests = shingles(data, offsets, width)
             owner, shingle, count = distinct(owner, shingle)
-            sig = prob_minhash(owner, shingle, 1 + np.log(count), batch.num_rows, places)
+            sig = prob_minhash(owner, shingle, np.ones(len(count)), batch.num_rows, places)
+            again = np.bincount(owner, weights=count > 1, minlength=batch.num_rows) > 0
+            some = again[owner]
+            weighted = prob_minhash(owner[some], shingle[some], 1 + np.log(count[some]), batch.num_rows, places)
             size = np.bincount(owner, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(size.astype(np.int32)), signed(digests[:, 0]), signed(digests[:, 1]),
-                pa.array([x.tobytes() for x in sig], pa.binary()),
-            ], ["doc_id", "n_shingles", "h1", "h2", "sig"]).filter(pa.array(size > 0))
+                pa.array([x.tobytes() for x in sig], pa.binary()), pa.array([x.tobytes() if a else None for x, a in zip(weighted, again)], pa.binary()),
+            ], ["doc_id", "n_shingles", "h1", "h2", "sig", "weighted"]).filter(pa.array(size > 0))
 
     narrow = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    return narrow.mapInArrow(sign, "doc_id long, n_shingles int, h1 long, h2 long, sig binary")
+    return narrow.mapInArrow(sign, "doc_id long, n_shingles int, h1 long, h2 long, sig binary, weighted binary")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, width: int, threshold: float, block: int = 64) -> DataFrame:
@@ -150,8 +157,9 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def _buckets(unique: DataFrame, places: int, band: int) -> DataFrame:
-    """``bucket, doc_id`` for each band of each signature."""
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", i * band * 4 + 1, band * 4)) for i in range(places // band)])
+    """``bucket, doc_id`` for each band of each signature, once per document."""
+    plain, weighted = (F.array(*[F.xxhash64(F.lit(i), F.substring(c, i * band * 4 + 1, band * 4)) for i in range(places // band)]) for c in ("sig", "weighted"))
+    keys = F.when(F.col("weighted").isNull(), plain).otherwise(F.array_union(plain, weighted))
     return unique.select("doc_id", F.explode(keys).alias("bucket"))
 
 
@@ -229,7 +237,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, pla
     copies = signed_docs.join(same.select("h1", "h2", F.col("doc_id").alias("b")), ["h1", "h2"]).select(F.col("doc_id").alias("a"), "b")
     unique = signed_docs.join(same.select("h1", "h2", "doc_id"), ["h1", "h2", "doc_id"], "left_semi").dropDuplicates(["h1", "h2"])
 
-    all_buckets = _buckets(unique.select("doc_id", "sig"), places, band)
+    all_buckets = _buckets(unique.select("doc_id", "sig", "weighted"), places, band)
     sizes = all_buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = durable(all_buckets.join(sizes, "bucket"))
     spread = shared.groupBy("doc_id").agg(F.sum("n").alias("spread"))

@@ -47,6 +47,18 @@ def test_links_between_members_that_are_unlike_the_leader(spark, prose):
     assert got == plain.classes(texts)
 
 
+def test_near_copies_with_a_much_repeated_line(spark, prose):
+    """Plain similarities just above 0.8 where the weighted ones are far lower, and pairs without repeats."""
+    texts = {}
+    for k in range(60):
+        body, line = prose(1000 + k, 104), prose(2000 + k, 20)
+        texts[2 * k], texts[2 * k + 1] = body, body + ("\n" + line) * (200 if k % 6 else 1)
+    want = plain.classes({i: " ".join(t.split()) for i, t in texts.items()})
+    assert sum(want[i] != i for i in texts) == 60
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(frame).collect()} == want
+
+
 def test_families_compared_in_blocks(spark):
     rng = np.random.default_rng(1)
     base = [rng.choice(10 ** 6, 40, replace=False) for _ in range(6)]
