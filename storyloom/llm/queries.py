@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.llm import chat, imatch, lm, neardup, packing, quality, sections, substrings, urlfilter, viterbi
+from storyloom.llm import (
+    chat, imatch, lm, neardup, packing, quality, repair, sections, sql, substrings, toxicity, urlfilter, variants, viterbi)
 
 VOCABULARY = os.environ.get("STORYLOOM_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
@@ -83,10 +84,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labelled ones that are not held out."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of six letters or more, some with a letter taken out."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_sentencepiece, op3_url_filters, op4_quality_rules, op5_chat_formatting, op6_packing, op7_fingerprints, op8_lm_scoring,
-        op9_minhash, op10_suffix_dedup)
+        op9_minhash, op10_suffix_dedup, op11_toxicity, op12_spelling_variants, op13_conversation_repair)
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -106,6 +122,8 @@ _MARK = r"\[/?INST\]|</?s>|<</?(?:SYS|ROLE)>>"
 _WRITTEN = f"""CASE WHEN regexp_matches({{0}}, '{_LOOKS}') THEN regexp_replace({{0}}, '{_LOOKS}', '\\1\\2~\\3', 'g') ELSE {{0}} END"""
 
 ORACLES: dict[str, str] = {
+    "op12_spelling_variants": sql.VARIANTS,
+    "op13_conversation_repair": sql.REPAIR,
     "op5_chat_formatting": f"""
         WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
             UNION ALL SELECT -1, 0, 'user', '{CONFLICT}' UNION ALL SELECT -1, 1, 'assistant', '{CONFLICT}'),
