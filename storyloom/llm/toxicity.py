@@ -33,13 +33,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.textbytes import byte_ranges, chunks, utf8
+from storyloom.llm.textbytes import CHUNK, byte_ranges, chunks, utf8
 from storyloom.llm.textbytes import words as word_ranges
+from storyloom.session import durable
 
 GRAM, Z, FOLDS = 7, 6.0, 4  # bytes of a run, deviations beyond which it stands out, folds for calibration
+LEAST, PASSES = 3, 4  # texts that hold a run that can stand out, passes over the runs
 WORDS, MOST_WORDS, MOST_BYTES = 5, 16, 256  # words of a window on average, and at most; bytes at most
 ORDINARY, TOXIC = 16 << 10, 4 << 10  # bytes of the dictionaries
 GAINS = (1, 2, 3, 4, 6)
+BROADCAST_ROWS = 200_000  # ids of the sample, 25 bytes each
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[65:91] += 32
 _PLAIN[[9, 10, 11, 12, 13]] = 32
@@ -138,19 +141,22 @@ def _train(samples: list[bytes], size: int, segment: int) -> bytes:
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``GRAM`` bytes from each position on, and whether they end in the text."""
-    at = np.arange(max(0, len(data) - GRAM + 1))
-    inside = np.repeat(offsets[1:], np.diff(offsets))[:len(at)] - at >= GRAM
-    return byte_ranges(data).hash(at, at + GRAM), inside
-
-
-def _pieces(data: np.ndarray, hit: np.ndarray) -> list[bytes]:
-    """Stretches that the runs from the positions ``hit`` on cover."""
-    edge = np.bincount(hit, minlength=len(data) + 1) - np.bincount(hit + GRAM, minlength=len(data) + 1)[:len(data) + 1]
-    on = np.cumsum(edge) > 0
-    step = np.diff(on.astype(np.int8), prepend=0)
-    raw = data.tobytes()
+    n = max(0, len(data) - GRAM + 1)
+    inside, out = np.ones(n, bool), np.zeros(n, np.uint64)
+    over = (offsets[1:, None] - np.arange(1, GRAM)).ravel()
+    inside[over[(over >= 0) & (over < n)]] = False
+    for s in range(0, n, CHUNK):
+        at = np.arange(min(CHUNK, n - s))
+        out[s:s + CHUNK] = byte_ranges(data[s:s + CHUNK + GRAM - 1]).hash(at, at + GRAM)
+    return out, inside
+
+
+def _pieces(text: bytes, hit: np.ndarray) -> list[bytes]:
+    """Stretches of a text that the runs from the positions ``hit`` on cover."""
+    first = np.flatnonzero(np.diff(hit, prepend=-GRAM) > GRAM)
+    last = np.append(first[1:], len(hit)) - 1
     # The trainer takes samples of eight bytes or more.
-    return [raw[a:b].ljust(8) for a, b in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1))]
+    return [text[a:b + GRAM].ljust(8) for a, b in zip(hit[first], hit[last])]
 
 
 def _regress(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -179,32 +185,43 @@ def fit(texts: list[str], toxic: list[int], rate: float | None = None) -> Model:
         return Model(rate=rate)
     data, offsets = _flat(pa.array(texts, pa.string()))
     grams, inside = _grams(data, offsets)
-    owner = np.repeat(np.arange(len(y)), np.diff(offsets))[:len(grams)]
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(offsets))[:len(grams)]
     fold = (np.arange(len(y)) * 0x9E37 >> 4) % FOLDS
-    # Distinct runs of each text, then the texts of each fold and class that hold each run.
-    owner = owner.astype(np.int32)
-    order = np.argsort(grams, kind="stable").astype(np.int32)
-    order = order[inside[order]]
-    if not len(order):
-        return Model(rate=rate)
-    o, g = owner[order], grams[order]
-    del grams
-    new = np.concatenate([[True], g[1:] != g[:-1]])
-    del g
-    number = np.cumsum(new, dtype=np.int32) - np.int32(1)
-    place = np.full(len(inside), -1, np.int32)
-    place[order] = number
-    del order
-    once = new.copy()
-    once[1:] |= o[1:] != o[:-1]
-    group = 2 * fold + y
-    held = np.stack([np.bincount(number[once & (group[o] == k)], minlength=number[-1] + 1) for k in range(2 * FOLDS)]).reshape(FOLDS, 2, -1)
+    group = (2 * fold + y).astype(np.int8)
+    # How many texts of each fold and class hold each run; runs of fewer than LEAST texts stand out
+    # nowhere. A share of the runs at a time bounds the memory.
+    place, held, known_runs = np.full(len(grams), -1, np.int32), [], 0
+    turn_of = (grams % np.uint64(PASSES)).astype(np.uint8)
+    for part in range(PASSES):
+        at = np.flatnonzero(inside & (turn_of == part)).astype(np.int32)
+        at = at[np.argsort(grams[at], kind="stable")]
+        g, o = grams[at], owner[at]
+        new = np.ones(len(at), bool)
+        new[1:] = g[1:] != g[:-1]
+        once = new.copy()
+        once[1:] |= o[1:] != o[:-1]
+        number = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        often = np.bincount(number[once], minlength=int(new.sum())) >= LEAST
+        renumbered = np.where(often, np.cumsum(often) - 1, -1)[number].astype(np.int32)
+        place[at] = np.where(renumbered < 0, -1, renumbered + known_runs)
+        count = int(often.sum())
+        use = once & (renumbered >= 0)
+        held.append(np.bincount(renumbered[use].astype(np.int64) * 2 * FOLDS + group[o[use]], minlength=2 * FOLDS * count).reshape(count, FOLDS, 2))
+        known_runs += count
+    del grams, owner, inside, turn_of
+    raw = data.tobytes()
+    del data
+    held = np.concatenate(held).transpose(1, 2, 0)
     texts_in = np.array([[((fold == f) & (y == c)).sum() for c in (False, True)] for f in range(FOLDS)])
 
-    start, end, at = windows(data, offsets)
-    raw = data.tobytes()
-    plain = [raw[a:b] for a, b in zip(start[~y[at]], end[~y[at]])]
+    plain: list[bytes] = []
+    for part in chunks([pa.record_batch({"text": pa.array([t for t, c in zip(texts, y) if not c], pa.string())})]):
+        some, ends = _flat(part.column("text"))
+        start, end, _ = windows(some, ends)
+        piece = some.tobytes()
+        plain += [piece[a:b] for a, b in zip(start, end)]
     ordinary = _train(plain, ORDINARY, 64)
+    del plain
 
     def toxic_dictionary(out: int | None) -> bytes:
         """From all texts but those of a fold."""
@@ -213,16 +230,20 @@ def fit(texts: list[str], toxic: list[int], rate: float | None = None) -> Model:
         share, whole = count / np.maximum(total, 1)[:, None], count.sum(axis=0) / total.sum()
         spread = np.sqrt(whole * (1 - whole) * (1 / np.maximum(total, 1)).sum()) + 1e-12
         known = np.append((share[1] - share[0]) / spread >= Z, False)  # no number: none
-        mine = y[owner] & (fold[owner] != (-1 if out is None else out))
-        samples = _pieces(data, np.flatnonzero(known[place] & mine))
+        samples = []
+        for i in np.flatnonzero(y & (fold != (-1 if out is None else out))):
+            a, b = offsets[i], offsets[i + 1]
+            hit = np.flatnonzero(known[place[a:max(a, b - GRAM + 1)]])
+            samples += _pieces(raw[a:b], hit) if len(hit) else []
         return _train(samples, TOXIC, 16) if samples else b""
 
     x = np.zeros((len(y), 2 * len(GAINS) + 1))
     for f in range(FOLDS):
         mine = np.flatnonzero(fold == f)
-        if len(mine):
-            some, ends = _flat(pa.array([texts[i] for i in mine], pa.string()))
-            x[mine] = Scorer(ordinary, toxic_dictionary(f)).features(some, ends)[:, 2:]
+        scorer, done = Scorer(ordinary, toxic_dictionary(f)), 0
+        for part in chunks([pa.record_batch({"text": pa.array([texts[i] for i in mine], pa.string())})]):
+            x[mine[done:done + part.num_rows]] = scorer.features(*_flat(part.column("text")))[:, 2:]
+            done += part.num_rows
     whole = toxic_dictionary(None)
     if not whole:
         return Model(rate=rate)
@@ -237,16 +258,21 @@ def sample(docs: DataFrame, labels: DataFrame, sample_bytes: int, sample_text_by
     the text, and the share of toxic ones among all. Texts that repeat count once in the sample;
     a text with both labels counts as toxic."""
     marked = labels.groupBy("doc_id").agg((F.max("toxic") != 0).alias("toxic")).filter("toxic IS NOT NULL")
-    size = F.octet_length("text")
-    given = docs.filter(F.col("text").isNotNull() & (size > 0) & (size <= sample_text_bytes)).join(marked, "doc_id")
-    given = given.select("toxic", "text", size.cast("long").alias("size"), F.shiftrightunsigned(F.xxhash64("text"), 1).alias("h"))
+    size, h = F.octet_length("text"), F.shiftrightunsigned(F.xxhash64("text"), 1)
+    able = docs.filter(F.col("text").isNotNull() & (size > 0) & (size <= sample_text_bytes))
+    # Labels meet hashes of texts; only the rows that are picked are read with their text.
+    given = durable(able.select("doc_id", size.cast("long").alias("size"), h.alias("h")).join(marked, "doc_id"))
     sums = {r["toxic"]: r for r in given.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()}
     picked = F.lit(False)
     for c, whole in sums.items():
         most = min((1 << 63) - 1, int(sample_bytes / whole["bytes"] * (1 << 63)))
         picked = picked | ((F.col("toxic") == c) & (F.col("h") <= most))
+    chosen = given.filter(picked).select("doc_id", "h", "toxic").distinct()
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
     n = {c: sums[c]["n"] if c in sums else 0 for c in (False, True)}
-    return given.filter(picked).groupBy("text").agg(F.max("toxic").alias("toxic")), (n[True] + 0.1) / (n[False] + n[True] + 1)
+    texts = able.select("doc_id", "text", h.alias("h")).join(chosen, ["doc_id", "h"])
+    return texts.groupBy("text").agg(F.max("toxic").alias("toxic")), (n[True] + 0.1) / (n[False] + n[True] + 1)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_bytes: int = 6 << 20, sample_text_bytes: int = 1 << 16) -> Model:
