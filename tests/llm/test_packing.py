@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from storyloom.llm import packing
@@ -48,7 +49,10 @@ def test_pieces_hold_every_document_once(docs, corpus, shard_bytes):
     assert short <= len({r.sequence_id >> 32 for r in rows})
 
 
-def test_scores_are_bm25():
+@pytest.mark.parametrize("dense", [0, 4096])
+def test_scores_are_bm25(monkeypatch, dense):
+    """Of every word that two documents share, common ones too, by postings or by a product."""
+    monkeypatch.setattr(packing, "DENSE_DOCUMENTS", dense)
     rng = np.random.default_rng(0)
     words = [rng.integers(0, 40, rng.integers(1, 30)) for _ in range(60)]
     index = packing.Index(words)
@@ -60,10 +64,28 @@ def test_scores_are_bm25():
             want = 0.0
             for w in set(words[seed].tolist()):
                 tf = int((words[d] == w).sum())
-                if tf and 1 < df[w] <= 10:
+                if tf and df[w] > 1:
                     want += math.log1p((60 - df[w] + 0.5) / (df[w] + 0.5)) * tf * (packing.K1 + 1) / (
                         tf + packing.K1 * (1 - packing.B + packing.B * len(words[d]) / mean))
-            assert abs(got[d] - want) < 1e-9
+            assert abs(got[d] - want) < (1e-4 if dense else 1e-9)
+
+
+def test_shards_have_a_bound(spark, prose):
+    """Long and short texts, a subject that makes up a third and texts of no subject: a shard holds its
+    bytes and one part, which is half a shard and what its rows vary by, or one long text."""
+    rng = np.random.default_rng(5)
+    rows = [prose(i, int(rng.integers(5, 60))) for i in range(900)]
+    rows += [f"hotword{k % 3} " + prose(5000 + k, 30) for k in range(500)] + ["copy of a text " * 10] * 200 + [prose(9, 3000)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumn("row", F.xxhash64("doc_id", "text"))
+    size = {i: len(t.encode()) + 16 for i, t in enumerate(rows)}
+    least = 16_000
+    placed = frame.join(packing.place(frame, sum(size.values()), least), "row").select("doc_id", "shard").collect()
+    assert sorted(r.doc_id for r in placed) == list(range(len(rows)))
+    held = Counter()
+    for r in placed:
+        held[r.shard] += size[r.doc_id]
+    assert max(held.values()) <= 1.8 * least + max(size.values())
+    assert len(held) <= 2 + sum(size.values()) / least
 
 
 def test_neighbours_follow_their_seed():
