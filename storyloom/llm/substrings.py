@@ -189,14 +189,22 @@ def _judge(batches: Iterator[pa.RecordBatch], slack: int, length: int) -> Iterat
         yield flush(n, True) if core[0] == large else flush(held.num_rows, False)
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN, carry: tuple[str, ...] = ()) -> DataFrame:
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Removed bytes with the other bytes of their characters."""
+    number = np.cumsum((data & 0xC0) != 0x80)
+    hit = np.bincount(number, weights=gone) > 0 if len(data) else gone
+    return hit[number] if len(data) else gone
+
+
+def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN, carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
     """``doc_id, kept, n_bytes, spans`` for each row: the bytes that stay, the size of the
     whole text and the maximal removed runs (``start, length``), in order. The columns that
     ``carry`` names follow as they are in the row.
 
     A null or empty text has no bytes and no spans, a text shorter than ``length`` stays
     whole. Rows are told apart by id and text; a row that is there twice repeats itself.
-    Strings are judged on the input, so every copy of a repeated string goes."""
+    Strings are judged on the input, so every copy of a repeated string goes. With ``characters``,
+    a UTF-8 character that loses one of its bytes goes whole."""
     if not 1 < span <= length:
         raise ValueError("span must lie between 2 and length")
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(f"with_{c}") for c in carry])
@@ -257,6 +265,8 @@ def repeated_spans(docs: DataFrame, length: int = 400, span: int = SPAN, carry:
             data, offsets = utf8(batch.column("text"))
             row, runs = _ranges(batch.column("gone"))
             gone = _covered(len(data), *[offsets[row] + runs.field(x).to_numpy() for x in ("start", "end")])
+            if characters:
+                gone = _whole_characters(data, gone)
             edge = np.zeros(len(data) + 1, bool)
             edge[offsets] = True
             begin = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate([[False], gone[:-1]])))
