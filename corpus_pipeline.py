@@ -20,31 +20,40 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the host-level quality rules keep. Rows without an id go, as later
-    stages could not tell them apart; rows that repeat an id are judged one by one."""
+    """Documents that the host-level quality rules keep; each row is judged by itself,
+    also without an id or with one that others have."""
     row = F.xxhash64("doc_id", "text", "source")
     kept = quality.judge(docs.withColumn("row", row), id_column="row").filter("kept").select(F.col("doc_id").alias("row")).distinct()
-    stays = docs.filter("doc_id IS NOT NULL").withColumn("row", row).join(kept, "row", "left_semi")
-    return stays.select(*COLUMNS)
+    return docs.withColumn("row", row).join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest id, and one
-    row of those that repeat it."""
-    drop = neardup.near_duplicates(docs).filter("NOT keeper").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each class of near duplicates: the one with the smallest id, and one row of
+    those that repeat it. Rows without an id, and rows that share one, are told apart by
+    their texts; against a row with an id of its own they give way."""
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("shared"))
+    # Such a row is numbered by its text, above any usual id.
+    number = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
+    marked = docs.select(*COLUMNS).join(shared, "doc_id", "left")
+    marked = marked.withColumn("row", F.when(F.col("doc_id").isNull() | F.col("shared"), number).otherwise(F.col("doc_id")))
+    drop = neardup.near_duplicates(marked.select(F.col("row").alias("doc_id"), "text")).filter("NOT keeper").select(F.col("doc_id").alias("row"))
+    return marked.join(drop, "row", "left_anti").dropDuplicates(["row"]).select(*COLUMNS)
+
+
+# Passages of over 50 words are what this stage is for. They can be short of the 400 bytes of
+# ``repeated_spans`` (51 words of four letters are 255), so it cuts shorter strings.
+PASSAGE_BYTES, PASSAGE_SPAN = 250, 100
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of its repeated passages. A character that loses
-    some of its bytes goes whole; a document that loses every byte goes. Rows that repeat
+    """Every document without its repeated passages of ``PASSAGE_BYTES`` or more. A character that
+    loses some of its bytes goes whole; a document that loses every byte goes. Rows that repeat
     an id are cut one by one; a null text stays null."""
     given = docs.withColumn("no_text", F.col("text").isNull())
-    cut = substrings.repeated_spans(given, carry=("lang", "source", "n_chars", "no_text")).filter("n_bytes = 0 OR length(kept) > 0")
-    whole = F.col("kept").cast("string")
-    changed = F.regexp_replace(F.expr("make_valid_utf8(cast(kept AS string))"), "\ufffd", "")
+    cut = substrings.repeated_spans(given, PASSAGE_BYTES, PASSAGE_SPAN, ("lang", "source", "n_chars", "no_text"), characters=True)
+    cut = cut.filter("n_bytes = 0 OR length(kept) > 0")
+    text = F.when(F.col("no_text"), F.lit(None)).otherwise(F.col("kept").cast("string"))
     shorter = F.size("spans") > 0
-    text = F.when(F.col("no_text"), F.lit(None)).when(shorter, changed).otherwise(whole)
     return cut.withColumn("text", text).withColumn("n_chars", F.when(shorter, F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
