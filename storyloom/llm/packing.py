@@ -44,7 +44,7 @@ class Index:
     def __init__(self, words: list[np.ndarray]):
         n = len(words)
         size = np.array([len(w) for w in words], np.int64)
-        flat = np.unique(np.concatenate([np.zeros(0, np.int32), *words]), return_inverse=True)[1]
+        flat = np.concatenate([np.zeros(0, np.int32), *words]).astype(np.int64)
         top = int(flat.max(initial=-1)) + 1
         pairs, count = np.unique(np.repeat(np.arange(n), size) * max(1, top) + flat, return_counts=True)
         del flat
@@ -135,11 +135,14 @@ def smallest(owner: np.ndarray, word: np.ndarray, weight: np.ndarray, most: int)
     weighted hashes; words without weight are none of them."""
     use = weight > 0
     owner, word = owner[use], word[use]
-    value = -np.log(((mix(word) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / weight[use]
-    by = np.lexsort((word, value, owner))
-    owner, word = owner[by], word[by]
+    value = -np.log(((mix(word) >> np.uint64(11)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -53)) / weight[use]
+    # The bits of positive numbers are in their order, and so are those of owner and value together.
+    joint = (owner.astype(np.uint64) << np.uint64(32)) | value.astype(np.float32).view(np.uint32)
+    by = np.argsort(joint)
+    joint, word = joint[by], word[by]
+    owner = (joint >> np.uint64(32)).astype(np.int64)
     new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])
+    new[1:] = (joint[1:] != joint[:-1]) | (word[1:] != word[:-1])
     owner, word = owner[new], word[new]
     rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
     return owner[rank < most], word[rank < most]
