@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from storyloom.functions import ids, labels, text, vectors
 from storyloom.operators import (
-    assign, classify, clean, corpus, density, digest, embed, extract, merge, neighbors, reads, similar,
+    assign, classify, clean, corpus, density, digest, embed, extract, linkage, merge, neighbors, reads, similar,
 )
 from storyloom.plans import adapters as A
+from storyloom.plans import clusters
 from storyloom.session import durable, scratch_path, spread
 from storyloom.sources import corpus as corpus_source
-from storyloom.sources import stage, warehouse
+from storyloom.sources import inverted, stage, warehouse
 from storyloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -538,10 +539,40 @@ def knn_exact(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found.withColumn("rank", F.col("rank").cast("long")), "distance")
 
 
+def _index(spark: SparkSession, stored: DataFrame) -> str:
+    root = scratch_path(spark, "index")
+    inverted.build(stored, root)
+    return root
+
+
 @query()
 def knn_ivf(spark: SparkSession, sf: str) -> DataFrame:
+    """Search of a stored index that visits as many lists as were measured."""
+    queries, stored = _neighbour_inputs(spark, sf)
+    return rounded(inverted.search(queries, _index(spark, stored)), "distance")
+
+
+@query(with_(A.VECTORS, NEIGHBOURS, select="""SELECT count(DISTINCT query_id) AS queries, count(*) AS neighbours, true AS recall_reached
+  FROM neighbours"""))
+def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows as queries: whether nine tenths of the exact neighbours are found."""
     queries, stored = _neighbour_inputs(spark, sf)
-    return rounded(neighbors.knn_ivf(queries, stored), "distance")
+    exact = neighbors.knn_exact(queries, stored).select("query_id", "neighbour_id")
+    found = inverted.search(queries, _index(spark, stored)).select("query_id", "neighbour_id", F.lit(1).alias("hit"))
+    return exact.join(found, ["query_id", "neighbour_id"], "left").agg(
+        F.count_distinct("query_id").alias("queries"), F.count("*").alias("neighbours"),
+        (F.count("hit") >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
+@query(with_(A.VECTORS, NEIGHBOURS, select="""SELECT query_id, neighbour_id, label, round(distance, 6) AS distance, rank
+  FROM neighbours"""))
+def ivf_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """An index of a third of the rows that takes the others later, searched in all its lists."""
+    queries, stored = _neighbour_inputs(spark, sf)
+    root = _index(spark, stored.where(F.pmod(F.xxhash64("id"), F.lit(3)) == 0))
+    inverted.insert(spark, root, stored)
+    found = inverted.search(queries, root, probes=inverted.LISTS)
+    return rounded(found.withColumn("rank", F.col("rank").cast("long")), "distance")
 
 
 @query(with_(A.VECTORS, NEIGHBOURS, VOTED, select="SELECT article_id, event_id, round(distance, 6) AS distance FROM voted"))
@@ -550,12 +581,37 @@ def knn_assign(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(neighbors.knn_assign(queries, stored, threshold=THRESHOLD), "distance")
 
 
-@query()
+POINTS = "SELECT article_id AS id, embedding FROM vectors"
+REST = POINTS + " WHERE article_id NOT IN (SELECT article_id FROM voted)"
+
+
+def event_sql(cluster: str) -> str:
+    return A.uuid_sql(f"'event:' || {cluster} || ':{A.RUN_DATE}'")
+
+
+ASSIGNED = [A.VECTORS, NEIGHBOURS, VOTED, *clusters.density(REST, 2, 1), f"""assigned AS (
+  SELECT article_id, event_id, 'knn' AS cluster_method, distance FROM voted
+  UNION ALL SELECT id, {event_sql("coalesce(label, id)")}, CASE WHEN label IS NULL THEN 'single' ELSE 'hdbscan_new' END, 0.0 FROM found)"""]
+
+
+@query(with_(A.VECTORS, *clusters.spanning_tree(POINTS, 1), select="""SELECT p.id AS lo, q.id AS hi, round(w, 6) AS w
+  FROM mst JOIN pts p ON p.i = mst.a JOIN pts q ON q.i = mst.b"""))
+def spanning_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """The edges that single linkage of all vectors merges by."""
+    points = A.vectors(spark, sf).select(F.col("article_id").alias("id"), "embedding", F.lit(0.0).alias("core"))
+    return rounded(linkage.spanning_forest(density.mst_edges(points, 128), 256), "w")
+
+
+@query(with_(A.VECTORS, *clusters.density(POINTS, 2, 1), select=f"""SELECT id AS article_id, {event_sql("label")} AS event_id
+  FROM found WHERE label IS NOT NULL"""))
 def hdbscan_new(spark: SparkSession, sf: str) -> DataFrame:
     return density.hdbscan_new(A.vectors(spark, sf).select("article_id", "embedding"), A.RUN_DATE)
 
 
-@query()
+@query(with_(A.VECTORS, *clusters.density(POINTS, 3, 2), select=f"""SELECT id AS article_id,
+  CASE WHEN label IS NOT NULL THEN {event_sql("label")} END AS event_id,
+  CASE WHEN label IS NULL THEN -1 ELSE dense_rank() OVER (ORDER BY label NULLS LAST) - 1 END::INT AS cluster_label,
+  round(share, 6) AS cluster_probability FROM found"""))
 def hdbscan_soft(spark: SparkSession, sf: str) -> DataFrame:
     found = density.hdbscan_soft(A.vectors(spark, sf).select("article_id", "embedding"), A.RUN_DATE)
     return rounded(found, "cluster_probability")
@@ -573,7 +629,7 @@ def _assignments(spark: SparkSession, sf: str) -> DataFrame:
     return assign.cluster_assignments(v.select("article_id", "embedding"), v, A.RUN_DATE, THRESHOLD)
 
 
-@query()
+@query(with_(*ASSIGNED, select="SELECT article_id, event_id, cluster_method, round(distance, 6) AS distance FROM assigned"))
 def cluster_assignments(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_assignments(spark, sf), "distance")
 
@@ -597,7 +653,8 @@ def cluster_nn_stats(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(neighbors.cluster_nn_stats(A.vectors(spark, sf)), "mean_distance", "median", "p90", "p95")
 
 
-@query()
+@query(with_(*ASSIGNED, select="""SELECT cluster_method, count(*) AS article_count, count(DISTINCT event_id) AS event_count
+  FROM assigned GROUP BY 1"""))
 def cluster_report(spark: SparkSession, sf: str) -> DataFrame:
     return assign.cluster_report(_assignments(spark, sf))
 

@@ -6,8 +6,8 @@ from storyloom.operators import density
 from . import brute
 
 
-# Several blocks and bands, and the doubling rounds instead of the local walk.
-SPLIT = {"block_rows": 30, "band_edges": 150, "local_clusters": 0}
+# Several blocks and groups of edges, and the doubling rounds instead of the local walk.
+SPLIT = {"block_rows": 30, "group_edges": 40, "local_clusters": 0}
 
 
 def _frame(spark, points):
