@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from storyloom.operators import density
+from storyloom.operators import assign, density, linkage
 
 from . import brute
 
@@ -79,3 +80,81 @@ def test_event_ids_are_stable(spark):
     first, second = ({(r.article_id, r.event_id) for r in density.hdbscan_new(_frame(spark, points), "2024-01-05").collect()}
                      for _ in range(2))
     assert first == second and len(first) == 4
+
+
+def test_the_forest_has_an_edge_less_than_points(spark):
+    """Boruvka rounds and the local finish give the least edges, one less than there are points."""
+    rng = np.random.default_rng(7)
+    points = {f"p{i:03d}": tuple(rng.integers(0, 9, 2)) for i in range(80)}  # many equal distances and copies
+    frame, _ = density._copies(_frame(spark, points), None)
+    n = frame.count()
+    assert n < 80
+    edges = density.mst_edges(frame.withColumn("core", F.lit(0.0)), 16).cache()
+    assert edges.count() > n
+    forests = [sorted(map(tuple, linkage.spanning_forest(edges, least).collect())) for least in (1 << 16, 10)]
+    assert forests[0] == forests[1] and len(forests[0]) == n - 1
+
+
+def test_a_deep_tree_of_clusters(spark):
+    """A chain of clusters, each with a leaf beside it: rounds equal the walk in one task, and both
+    equal the sums from below."""
+    rng = np.random.default_rng(2)
+    own = {f"c{i:02d}": float(v) for i, v in enumerate(rng.integers(0, 40, 40))} | {f"l{i:02d}": float(v) for i, v in enumerate(rng.integers(0, 9, 40))}
+    above = {f"c{i:02d}": f"c{i - 1:02d}" if i else None for i in range(40)} | {f"l{i:02d}": f"c{i:02d}" for i in range(40)}
+    below = {name: 0.0 for name in own}
+    for i in reversed(range(40)):
+        for kid in (f"l{i:02d}", f"c{i:02d}"):
+            if above[kid]:
+                below[above[kid]] += max(own[kid], below[kid])
+    frame = spark.createDataFrame([(k, above[k], own[k]) for k in own], "cluster string, above string, own double")
+    for local in (1 << 16, 8):
+        assert {r.cluster: r.below for r in linkage.best_choice(frame, local).collect()} == below
+    steps = spark.createDataFrame([(k, a) for k, a in above.items() if a], "node string, up string")
+    for local in (1 << 16, 0):
+        assert {(r.node, r.top) for r in linkage.climb(steps, local).collect()} == {(k, "c00") for k, a in above.items() if a}
+
+
+DAY = 86_400
+
+
+def _timed(spark, rows):
+    frame = spark.createDataFrame([(n, [float(x) for x in v], t) for n, v, t in rows], "article_id string, embedding array<double>, t long")
+    return frame.selectExpr("article_id", "embedding", "timestamp_seconds(t) AS published_at")
+
+
+@pytest.mark.parametrize("min_size, min_samples", [(2, 1), (3, 2)])
+def test_a_window_changes_nothing_for_short_events(spark, min_size, min_samples):
+    """Events within a day and far from each other, on days all over a month, in several buckets and blocks."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for e in range(8):
+        centre, day = rng.normal(size=3) * 40, int(rng.integers(0, 30))
+        for k in range(5):
+            rows.append((f"e{e}{k}", centre + rng.normal(size=3), day * DAY + int(rng.integers(0, DAY))))
+        rows.append((f"x{e}", rows[-1][1], rows[-1][2] + 600))  # a copy
+    frame = _timed(spark, rows)
+    whole = {r.article_id: r.cluster for r in density.hdbscan(frame, min_size, min_samples).collect()}
+    assert len({c for c in whole.values() if c}) >= 8
+    within = {r.article_id: r.cluster for r in density.hdbscan(frame, min_size, min_samples, block_rows=4, window_hours=48).collect()}
+    assert within == whole
+
+
+def test_a_window_parts_what_is_alike_at_other_times(spark):
+    """Equal and near vectors weeks apart are events of their own; rows without a time are noise."""
+    rows = [("a1", (0, 0), 0), ("a2", (0, 0.1), DAY), ("b1", (0, 0), 20 * DAY), ("b2", (0, 0), 21 * DAY), ("b3", (0, 0), 22 * DAY + 3600),
+            ("c", (0, 0), 40 * DAY), ("n", (0, 0), None)]
+    got = {r.article_id: (r.cluster, r.probability) for r in density.hdbscan(_timed(spark, rows), window_hours=48).collect()}
+    assert {k: c for k, (c, _) in got.items()} == {"a1": "a1", "a2": "a1", "b1": "b1", "b2": "b1", "b3": "b1", "c": None, "n": None}
+    chained = [(f"r{i}", (i * 0.1, 0), i * DAY) for i in range(12)] + [("far", (900, 0), 5 * DAY), ("far2", (901, 0), 5 * DAY)]
+    found = {r.article_id: r.cluster for r in density.hdbscan(_timed(spark, chained), block_rows=3, window_hours=30).collect()}
+    assert {c for k, c in found.items() if k[0] == "r"} != {None} and found["far"] == found["far2"] == "far"
+
+
+def test_assignment_within_a_window(spark):
+    """Stored articles vote only if they are near in time; the rest is clustered within the window."""
+    new = _timed(spark, [("n1", (0, 0), 10 * DAY), ("n2", (0, 0.01), 10 * DAY), ("n3", (5, 5), 10 * DAY), ("n4", (9, 9), 30 * DAY), ("n5", (9, 9.01), 12 * DAY)])
+    stored = _timed(spark, [("s1", (0, 0), 0), ("s2", (5, 5), 9 * DAY)]).withColumn("event_id", F.concat(F.lit("e-"), "article_id"))
+    rows = {r.article_id: r for r in assign.cluster_assignments(new, stored, "2024-01-05", window_hours=48).collect()}
+    assert {k: r.cluster_method for k, r in rows.items()} == {"n1": "hdbscan_new", "n2": "hdbscan_new", "n3": "knn", "n4": "single", "n5": "single"} \
+        or {k: r.cluster_method for k, r in rows.items()} == {"n1": "single", "n2": "single", "n3": "knn", "n4": "single", "n5": "single"}
+    assert rows["n3"].event_id == "e-s2" and len({r.event_id for r in rows.values()}) >= 4
