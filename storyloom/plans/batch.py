@@ -22,22 +22,25 @@ MAX_FOLDERS = 16
 class Options:
     """Models and thresholds of a run. ``model`` scores vectors, ``classifier`` texts; with
     neither, the bias columns of new articles stay NULL and those of stored ones stay as
-    they are."""
+    they are. ``window_hours`` bounds in time which articles can share an event."""
 
     encoder: Callable | None = None
     model: Transformer | None = None
-    classifier: Callable | None = None
+    classifier: Callable | Transformer | None = None
     min_body_chars: int = clean.MIN_BODY_CHARS
     languages: list[str] | None = None
     k: int = neighbors.K_NEIGHBOURS
     threshold: float = neighbors.DISTANCE_THRESHOLD
     majority: float = neighbors.MAJORITY_RATIO
     density: dict[str, int] = field(default_factory=dict)
+    window_hours: float | None = None
 
 
 def _bias(cleaned: DataFrame, vectors: DataFrame, options: Options) -> DataFrame:
     if options.model is not None:
         return classify.score_bias(vectors, options.model)
+    if isinstance(options.classifier, Transformer):
+        return classify.classify_fitted(embed.model_text(cleaned, sentence=True), options.classifier)
     if options.classifier is not None:
         return classify.classify_text(embed.model_text(cleaned, sentence=True), options.classifier)
     return cleaned.selectExpr(
@@ -58,8 +61,11 @@ def curate(
     cleaned = durable(clean.clean_articles(present, options.min_body_chars))
     vectors = durable(embed.embed_batches(embed.model_text(cleaned), options.encoder))
     bias = _bias(cleaned, vectors, options)
+    placed = vectors
+    if options.window_hours is not None:
+        placed = vectors.join(stage.article_times(cleaned).select("article_id", "published_at"), "article_id", "left")
     clusters = durable(assign.cluster_assignments(
-        vectors, stored["articles"], run_date, options.threshold, options.k, options.majority, **options.density))
+        placed, stored["articles"], run_date, options.threshold, options.k, options.majority, options.window_hours, **options.density))
 
     joined = stage.article_times(merge.join_outputs(cleaned, vectors, bias, clusters, loaded_at)).withColumn(
         "bias_scores", F.from_json("bias_scores", "map<string,double>"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -497,6 +498,47 @@ def classify_text(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("article_id", *_score_facts(found))
 
 
+def _held_out(df: DataFrame) -> DataFrame:
+    """Articles with the position of their language as label; a fourth is not learnt from."""
+    position = F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col("language")) - 1
+    return df.where(F.col("language").isin(LANGUAGES)).withColumns({"label": position, "held": F.pmod("pos", F.lit(4)) == 0})
+
+
+def _found_share(found: DataFrame, held: DataFrame) -> DataFrame:
+    """How many articles were held out, and whether nine tenths of their languages were found."""
+    return held.select("article_id", "language").join(found.select("article_id", "bias_label"), "article_id").agg(
+        F.count("*").alias("held_out"), (F.count_if(F.col("language") == F.col("bias_label")) >= 0.9 * F.count("*")).alias("found"))
+
+
+LANGUAGES = ["de", "en", "es", "fr"]
+HELD_OUT = f"""SELECT count(*) AS held_out, true AS found FROM articles
+  WHERE language IN ({", ".join(f"'{x}'" for x in LANGUAGES)}) AND pos % 4 = 0 AND length(body) > 40"""
+
+
+@query(with_(A.ARTICLES, select=HELD_OUT))
+def score_bias_trees(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree ensemble over encoded articles, saved and loaded, asked for the language of articles
+    that it has not seen; the language is no part of the vector."""
+    rows = durable(_held_out(A.articles(spark, sf)).where(F.length("body") > 40))
+    encoded = embed.embed_batches(embed.model_text(rows), embed.hashed_encoder(128))
+    vectors_ = durable(encoded.join(rows.select("article_id", "label", "held"), "article_id"))
+    path = scratch_path(spark, "trees")
+    classify.fit_tree_model(vectors_.where("NOT held")).save(path)
+    found = classify.score_bias(vectors_.where("held"), PipelineModel.load(path), LANGUAGES)
+    return _found_share(found, rows.where("held"))
+
+
+@query(with_(A.ARTICLES, select=HELD_OUT))
+def classify_text_fitted(spark: SparkSession, sf: str) -> DataFrame:
+    """A text model, saved and loaded, asked for the language of articles that it has not seen."""
+    rows = durable(_held_out(A.articles(spark, sf)).where(F.length("body") > 40))
+    texts = rows.select("article_id", F.col("body").alias("text"), "label", "held")
+    path = scratch_path(spark, "text-model")
+    classify.fit_text_model(texts.where("NOT held")).save(path)
+    found = classify.classify_fitted(texts.where("held"), PipelineModel.load(path), LANGUAGES)
+    return _found_share(found, rows.where("held"))
+
+
 # --- Neighbours and events ---------------------------------------------------------
 
 MEANS = """flat AS (SELECT generate_subscripts(embedding, 1) AS d, unnest(embedding) AS x FROM vectors),
