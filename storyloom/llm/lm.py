@@ -155,7 +155,16 @@ def score_documents(docs: DataFrame, vocabulary: int = 2048, head: int = 50_000,
     counts = spark.read.parquet(path)
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n, v = total["n"] or 0, total["v"]
-    top = counts.filter(F.col("word") != F.lit(bytearray(END_WORD))).orderBy(F.col("c").desc(), "word").limit(head).collect()
+    # A histogram of counts tells how frequent the words of the head are; without it every task would
+    # send as many words as the head has.
+    others = counts.filter(F.col("word") != F.lit(bytearray(END_WORD)))
+    level, least, held = F.floor(F.log2("c") * 16), None, 0
+    for r in sorted(others.groupBy(level.alias("level")).count().collect(), reverse=True):
+        least, held = r["level"], held + r["count"]
+        if held >= head:
+            break
+    wanted = others if least is None else others.filter(level >= least)
+    top = wanted.orderBy(F.col("c").desc(), "word").limit(head).collect()
     frequent = {bytes(r["word"]): r["c"] for r in top}
     ends = counts.filter(F.col("word") == F.lit(bytearray(END_WORD))).first()
     known = [END_WORD, *list(frequent)[:vocabulary - 1]]
