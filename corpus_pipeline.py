@@ -31,19 +31,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each class of near duplicates: the one with the smallest id, and one row of
     those that repeat it. Rows without an id, and rows that share one, are told apart by
     their texts; against a row with an id of its own they give way."""
-    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 AND doc_id IS NOT NULL").select("doc_id", F.lit(True).alias("shared"))
-    shared = durable(shared)
-    # Such a row is numbered by its text, above any usual id.
+    docs = docs.select(*COLUMNS)
+    odd = durable(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 OR doc_id IS NULL").select("doc_id", F.lit(True).alias("odd")))
+    if odd.isEmpty():
+        drop = neardup.near_duplicates(docs).filter("NOT keeper").select("doc_id")
+        return docs.join(drop, "doc_id", "left_anti").select(*COLUMNS)
+    # Such a row is numbered by its text, above any usual id; the rows are read several times, so that is
+    # written once.
     number = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2).bitwiseOR(F.lit(1 << 62))
-    if shared.isEmpty():
-        marked = docs.select(*COLUMNS, F.coalesce("doc_id", number).alias("row"))
-    else:
-        # The rows are read several times; which of them share an id is found once.
-        path = scratch_path(spark, "rows")
-        marked = docs.select(*COLUMNS).join(shared, "doc_id", "left").withColumn(
-            "row", F.when(F.col("doc_id").isNull() | F.col("shared"), number).otherwise(F.col("doc_id")))
-        marked.write.parquet(path)
-        marked = spark.read.parquet(path)
+    path = scratch_path(spark, "rows")
+    marked = docs.join(odd, "doc_id", "left").withColumn("row", F.when(F.col("doc_id").isNull() | F.col("odd"), number).otherwise(F.col("doc_id")))
+    marked.write.parquet(path)
+    marked = spark.read.parquet(path)
     drop = neardup.near_duplicates(marked.select(F.col("row").alias("doc_id"), "text")).filter("NOT keeper").select(F.col("doc_id").alias("row"))
     return marked.join(drop, "row", "left_anti").dropDuplicates(["row"]).select(*COLUMNS)
 
