@@ -226,6 +226,34 @@ def commit_warehouse(spark: SparkSession, sf: str) -> DataFrame:
     return reads.row_counts({n: warehouse.read_table(spark, root, n) for n in ("articles", "sources", "events")})
 
 
+def _two_commits(spark: SparkSession, sf: str) -> str:
+    """Stored articles, then English ones as changes."""
+    root = scratch_path(spark, "warehouse")
+    rows = A.articles(spark, sf).withColumnRenamed("source", "source_name")
+    for run, held in (("first", A.stored_articles(spark, sf)), ("second", rows.where("language = 'en'"))):
+        names = held.select("source_name").distinct().withColumn("source_type", F.lit("html"))
+        warehouse.commit_warehouse(spark, root, {"sources": names, "articles": held}, run, changes=True)
+    return root
+
+
+@query(with_(A.ARTICLES, A.STORED, select="""SELECT 'articles' AS table_name, 0 AS part, count(*) AS rows, min(article_id) AS low, max(article_id) AS high FROM stored
+  UNION ALL SELECT 'articles', 1, count(*), min(article_id), max(article_id) FROM articles WHERE language = 'en'
+  UNION ALL SELECT 'sources', 0, count(DISTINCT source_name), min(source_name), max(source_name) FROM stored
+  UNION ALL SELECT 'sources', 1, count(DISTINCT source), min(source), max(source) FROM articles WHERE language = 'en'"""))
+def warehouse_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and ranges of keys of each folder, as the commits keep them."""
+    found = warehouse.folder_stats(spark, _two_commits(spark, sf))
+    return found.select("table_name", F.substring_index("folder", "-", 1).cast("int").alias("part"), "rows", "low", "high")
+
+
+@query(with_(A.ARTICLES, A.STORED, select="""SELECT article_id, title FROM articles WHERE language = 'en' AND article_id BETWEEN '4' AND '8'
+  UNION ALL SELECT article_id, title FROM stored WHERE article_id BETWEEN '4' AND '8'
+    AND article_id NOT IN (SELECT article_id FROM articles WHERE language = 'en')"""))
+def read_key_range(spark: SparkSession, sf: str) -> DataFrame:
+    """The current rows of a range of keys, over both commits."""
+    return warehouse.read_table(spark, _two_commits(spark, sf), "articles", keys=("4", "8")).select("article_id", "title")
+
+
 @query(with_(A.VECTORS, A.ARTICLES, select="""SELECT article_id, 'new' AS payload, round(list_sum(embedding), 6) AS total
   FROM vectors WHERE label < 5
   UNION ALL SELECT v.article_id, 'old', round(list_sum(v.embedding), 6)
