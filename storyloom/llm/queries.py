@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every line of every document, by most characters."""
+    """Tokens of every sentence of every document, by most characters."""
     return sections.section_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
