@@ -21,7 +21,8 @@ HEADLINE = [
     "cosine_topk", "cluster_nn_stats", "window_candidates", "hdbscan_new", "hdbscan_soft", "cluster_assignments",
     "last_wins", "join_outputs", "event_stats", "upsert_events", "upsert_articles", "integrity_checks",
     "corpus_event_stats", "event_digest", "latest_articles", "similar_articles", "profile_table",
-    "commit_warehouse", "incremental_run",
+    "commit_warehouse", "incremental_run", "spanning_forest", "ivf_recall", "score_bias_trees", "classify_text_fitted",
+    "warehouse_stats", "read_key_range",
 ]
 
 
