@@ -88,3 +88,18 @@ def test_merges_join_once(spark, sf):
     stored = adapters.stored_articles(spark, sf)
     plan = _plan(merge.upsert_articles(stored, stored))
     assert plan.count("FullOuter") == 1
+
+
+def test_raw_stage_writers_follow_the_shuffle_partitions(spark, sf):
+    """A fixed count of writers would give each a growing share of a growing input."""
+    import glob
+
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        root = catalog._raw_folder(spark, sf)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(glob.glob(f"{root.removeprefix('file:')}/raw/**/part-*", recursive=True)) == 8
