@@ -1,8 +1,11 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from storyloom.operators import assign, density, linkage
+from storyloom.session import shared_dir
 
 from . import brute
 
@@ -158,3 +161,24 @@ def test_assignment_within_a_window(spark):
     assert {k: r.cluster_method for k, r in rows.items()} == {"n1": "hdbscan_new", "n2": "hdbscan_new", "n3": "knn", "n4": "single", "n5": "single"} \
         or {k: r.cluster_method for k, r in rows.items()} == {"n1": "single", "n2": "single", "n3": "knn", "n4": "single", "n5": "single"}
     assert rows["n3"].event_id == "e-s2" and len({r.event_id for r in rows.values()}) >= 4
+
+
+def _disk(folder: str) -> int:
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+
+def test_forest_rounds_free_the_checkpoints_they_replace(spark):
+    """Boruvka rounds delete the edges of a round once the next one is on disk, so many rounds keep
+    less than one round over the whole input does, and give the same forest."""
+    rng = np.random.default_rng(11)
+    points = {f"p{i:03d}": tuple(rng.normal(0, 1, 2)) for i in range(160)}
+    frame, _ = density._copies(_frame(spark, points), None)
+    edges = density.mst_edges(frame.withColumn("core", F.lit(0.0)), 16).cache()
+    edges.count()
+    folder, kept, forests = shared_dir(spark), [], []
+    for least in (1 << 16, 10):
+        before = _disk(folder)
+        forests.append(sorted(map(tuple, linkage.spanning_forest(edges, least).collect())))
+        kept.append(_disk(folder) - before)
+    assert forests[0] == forests[1]
+    assert kept[1] < kept[0]
