@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm import recurrent
-from storyloom.llm.textbytes import chunks
+from storyloom.llm.textbytes import CHUNK, chunks
 from storyloom.session import scratch_path
 
 END_WORD = b"\n"  # no word holds a line feed
 GROUP = 12 << 20  # bytes of text that a task reads in lockstep
+SCORED = CHUNK  # bytes of text scored at once; every document is scored alone, so this bounds only a task's memory
 
 
 def held_out(doc_id) -> bool:
@@ -211,7 +212,7 @@ def score_documents(docs: DataFrame, vocabulary: int = 2048, head: int = 50_000,
                                     size + np.arange(recurrent.SHAPES)]).astype(np.int64)
         # log10 of (c + 0.5) of frequent words; other words come with their counts later.
         gain = np.append(np.log10(np.array([often[w] for w in placed]) + 0.5), np.zeros(recurrent.SHAPES))
-        for batch in chunks(batches, size=GROUP):
+        for batch in chunks(batches, size=SCORED):
             split = [tokens(t) for t in _texts(batch)]
             at = [np.fromiter(map(places.__getitem__, w), np.int64, len(w)) for w in split]
             group = [np.append(number_of[a], recurrent.END) for a in at]

@@ -131,3 +131,12 @@ def test_odd_rows(spark, nothing):
     assert sorted(r.n_tokens for r in rows) == [1, 1, 1, 4] and {r.held_out for r in rows if r.doc_id is None} == {zlib.crc32(b"None") % 5 == 1}
     only = spark.createDataFrame([(i, "x y") for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1], "doc_id long, text string")
     assert {(r.n_known, r.train_tokens, r.score < 0) for r in lm.score_documents(only, hidden=4, rounds=1).collect()} == {(0, 0, True)}
+
+
+def test_scoring_holds_a_small_group_of_texts(model):
+    # Scores do not depend on the texts scored beside them, so a task holds only a small group.
+    assert lm.SCORED <= 1 << 20 < lm.GROUP
+    docs = _docs(3, 300, 23)
+    together = recurrent.run(model, docs)
+    apart = np.concatenate([recurrent.run(model, docs[i:i + 7]) for i in range(0, len(docs), 7)])
+    assert np.allclose(together, apart, rtol=1e-5)
