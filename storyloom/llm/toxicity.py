@@ -305,7 +305,8 @@ def score(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
             if scorer:
                 x = scorer.features(data, offsets)
                 mean, spread, w = model.weights
-                p = 1 / (1 + np.exp(-np.clip((x[:, 2:] - mean[:-1]) / spread[:-1] @ w[:-1] + w[-1], -30, 30)))
+                # Row by row, not a matrix product, whose sums depend on the rows beside them.
+                p = 1 / (1 + np.exp(-np.clip(((x[:, 2:] - mean[:-1]) / spread[:-1] * w[:-1]).sum(axis=1) + w[-1], -30, 30)))
             else:
                 x, p = np.zeros((batch.num_rows, 2)), np.full(batch.num_rows, model.rate)
                 x[:, 0] = np.bincount(windows(data, offsets)[2], minlength=batch.num_rows)

@@ -93,3 +93,10 @@ def test_one_class_or_none(spark, labelled, toxic):
     got = toxicity.classify(docs, labels.withColumn("toxic", F.lit(toxic))).collect()
     assert {r.predicted for r in got} == {toxic} and len({r.score for r in got}) == 1
     assert {r.score for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0.1}
+
+
+def test_score_of_a_row_does_not_depend_on_its_batch(spark, labelled):
+    docs, labels = _tables(spark, labelled)
+    model = toxicity.train(docs.filter(~toxicity.held_out()), labels.filter(~toxicity.held_out()))
+    want = {r.doc_id: r.score for r in toxicity.score(docs.coalesce(1), model).collect()}
+    assert {r.doc_id: r.score for r in toxicity.score(docs.repartition(7), model).collect()} == want
