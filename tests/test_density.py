@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from storyloom.operators import assign, density, linkage
+from storyloom.operators import assign, blocks, density, linkage
 from storyloom.session import shared_dir
 
 from . import brute
@@ -182,3 +182,49 @@ def test_forest_rounds_free_the_checkpoints_they_replace(spark):
         kept.append(_disk(folder) - before)
     assert forests[0] == forests[1]
     assert kept[1] < kept[0]
+
+
+def _forest(edges):
+    return sorted((round(r.w, 9), r.lo, r.hi) for r in edges.collect())
+
+
+@pytest.mark.parametrize("parts, wide", [(12, 2048), (1, 20), (3, 25)])
+def test_pairs_of_blocks_are_not_copied_into_a_shuffle(spark, monkeypatch, parts, wide):
+    """Trees of two partitions of blocks leave fewer edges than points for each of the other partitions, no point goes through
+    an exchange for them, and their forest is the least one, be there many small tasks or one with many blocks."""
+    monkeypatch.setattr(blocks, "SIDE_PARTS", parts)
+    monkeypatch.setattr(density, "WIDE_ROWS", wide)
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(5, 4)) * 3
+    points = {f"p{i:03d}": centres[i % 5] + rng.normal(size=4) for i in range(300)}
+    points.update({f"g{i:02d}": tuple(float(v) for v in rng.integers(0, 3, 4)) for i in range(60)})  # equal distances
+    frame, _ = density._copies(_frame(spark, points), None)
+    frame = frame.withColumn("core", F.lit(0.0))
+    n = frame.count()
+    edges = density.mst_edges(frame, 16)
+    plan = edges._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    found = edges.collect()
+    assert n - 1 <= len(found) <= parts * n
+    rows = {r.id: np.array(r.embedding) for r in frame.collect()}
+    every = [(float(np.linalg.norm(rows[a] - rows[b])), a, b) for a in rows for b in rows if a < b]
+    want = _forest(linkage.spanning_forest(spark.createDataFrame(every, "w double, lo string, hi string"), 1 << 20))
+    assert _forest(linkage.spanning_forest(spark.createDataFrame(found), 1 << 20)) == want
+
+
+@pytest.mark.parametrize("parts", [12, 2])
+def test_core_distances_leave_a_task_once_a_row(spark, monkeypatch, parts):
+    monkeypatch.setattr(blocks, "SIDE_PARTS", parts)
+    monkeypatch.setattr(density, "WIDE_ROWS", 16)
+    rng = np.random.default_rng(22)
+    rows = [(f"p{i:03d}", int(rng.integers(1, 4)), [float(v) for v in rng.integers(0, 6, 3)]) for i in range(150)]
+    frame = spark.createDataFrame(rows, "id string, weight long, embedding array<double>")
+    near = density._near_in_blocks(frame, 4, 8)
+    assert "Exchange" not in near._jdf.queryExecution().executedPlan().toString()
+    assert near.count() <= 4 * (parts + 1) * len(rows)
+    want = {}
+    for name, weight, x in rows:
+        others = sorted((float(np.linalg.norm(np.subtract(x, y))), w) for other, w, y in rows if other != name)
+        around = [(0.0, weight - 1), *others]
+        want[name] = next(d for i, (d, _) in enumerate(around) if sum(w for _, w in around[:i + 1]) >= 4)
+    assert {r.id: round(r.core, 9) for r in density.core_distances(frame, 4, 8).collect()} == {k: round(d, 9) for k, d in want.items()}
