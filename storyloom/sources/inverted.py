@@ -151,7 +151,7 @@ def search(queries: DataFrame, root: str, k: int = neighbors.K_NEIGHBOURS, probe
     parts = np.ceil(held / block_rows).astype(int)
     chunks = max(1, ceil(n / block_rows))
 
-    def nearest(dist: np.ndarray, _: pa.RecordBatch) -> np.ndarray:
+    def nearest(dist: np.ndarray, _: pa.RecordBatch | None = None) -> np.ndarray:
         dist = np.where((held > 0)[None, :], dist, np.inf)
         last = min(probes, dist.shape[1]) - 1
         return (dist <= np.partition(dist, last, axis=1)[:, last][:, None]) & np.isfinite(dist)
@@ -166,7 +166,14 @@ def search(queries: DataFrame, root: str, k: int = neighbors.K_NEIGHBOURS, probe
     asked = queries.select("query_id", "embedding")
     # At most one number a list; the lists that no query visits are not read.
     wanted = [r.cell for r in asked.select("embedding").mapInArrow(visited, "cell int").distinct().collect()]
-    stored = blocks.split_cells(_read(spark, root, entries).where(F.col("cell").isin(wanted)), parts, chunks)
+    lists = _read(spark, root, entries).where(F.col("cell").isin(wanted))
+    if chunks > 1:
+        # Queries of several blocks are not copied into their lists; they meet the stored blocks.
+        found = blocks.search_pairs(
+            asked, lists, centres, (n, int(held[wanted].sum())), centres.shape[1], k, nearest, max_distance, skip_self, block_rows,
+            visited_only=True)
+        return blocks.keep_nearest(found, k)
+    stored = blocks.split_cells(lists, parts, chunks)
     placed = blocks.probe_cells(asked, centres, parts, chunks, nearest)
     key = F.lit("")
     found = blocks.search_blocks(placed.withColumn("key", key), stored.withColumn("key", key), k, max_distance, skip_self)

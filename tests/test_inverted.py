@@ -92,3 +92,15 @@ def test_odd_tables(spark, clustered):
     found = inverted.search(_queries(same.limit(2)), root).collect()
     assert [r.distance for r in found] == [0.0] * 10
     assert inverted.search(_queries(same.limit(0)), root).isEmpty()
+
+
+def test_many_queries_are_not_copied_into_their_lists(spark, clustered):
+    """Queries of several blocks meet the stored blocks, and find what queries of one block do: rows of visited lists only."""
+    rows = _frame(spark, clustered)
+    root = scratch_path(spark, "index")
+    inverted.build(rows, root, lists=12)
+    asked = _queries(rows.where("id < 'v0200'"))
+    many = inverted.search(asked, root, probes=2, block_rows=40)
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" in plan and "CoGroup" not in plan
+    assert _pairs(many) == _pairs(inverted.search(asked, root, probes=2))
